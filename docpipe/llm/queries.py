@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import knn
+from docpipe.llm import canon, knn
 from docpipe.sources.tables import table
 
 
@@ -34,8 +34,34 @@ def p1_copies(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _typed_values(spark: SparkSession, d: str) -> DataFrame:
+    """field, norm_id, value as stored, each once."""
+    n = table(spark, d, "norms").where("norm_id is not null")
+    bodies = n.select(F.lit("issuing_body").alias("field"), "norm_id", F.col("issuing_body").alias("value"))
+    tags = n.select(F.lit("subject_tags").alias("field"), "norm_id", F.explode("subject_tags").alias("value"))
+    return bodies.unionByName(tags).where("value is not null").distinct()
+
+
+def _reference_list(spark: SparkSession, d: str) -> DataFrame:
+    bodies = table(spark, d, "ref_bodies").select(F.lit("issuing_body").alias("field"), F.col("body_id").alias("ref_id"), F.col("body_name").alias("name"), "sigla")
+    tags = table(spark, d, "ref_tags").select(F.lit("subject_tags").alias("field"), F.col("tag_id").alias("ref_id"), F.col("tag_name").alias("name"), F.lit(None).cast("string").alias("sigla"))
+    return bodies.unionByName(tags)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    refs = _reference_list(spark, d)
+    odd = _typed_values(spark, d).join(refs.select("field", F.col("name").alias("value")).distinct(), ["field", "value"], "left_anti")
+    matched = canon.match_values(odd, refs)
+    return odd.join(matched, ["field", "value"]).select(F.col("field").alias("field_name"), "norm_id", F.col("value").alias("raw_value"), "ref_id")
+
+
+def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Report of the values that no entry of the lists stands for, with the norms that carry them."""
+    return p2_found(spark, d).where("ref_id = 0").groupBy("field_name", "raw_value").agg(F.count("*").alias("norms"))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched}
 
 
 def oracle_sql() -> dict[str, str]:
