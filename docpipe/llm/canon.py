@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docpipe.session import cut_lineage
+
 # Words that carry no meaning of their own in Spanish names, and marks typed before or after a value.
 STOPWORDS = frozenset("a al de del e el en la las lo los o para por u un una y".split())
 EDGE_WORDS = frozenset("general tema".split())
@@ -221,8 +223,9 @@ def match_values(values: DataFrame, refs: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["field", "value", "tok", "kind", "short", "pos"])
 
     distinct = values.where("value is not null").select("field", "value").distinct()
-    toks = distinct.mapInPandas(cut, schema)
-    words = reference_words(refs)
+    # both are small against the table they come from and used by several joins below
+    toks = cut_lineage(distinct.mapInPandas(cut, schema))
+    words = cut_lineage(reference_words(refs))
     by_token = _repair(toks.select("field", "tok", "kind", "short").distinct(), words)
 
     hits = toks.join(by_token, ["field", "tok", "kind", "short"]).join(
@@ -277,9 +280,11 @@ def _repair(tokens: DataFrame, words: DataFrame) -> DataFrame:
     )
     exact = exact.select(tokens.field, "tok", "kind", "short", "word", "as_kind", F.lit(1.0).alias("sim"))
     open_ = tokens.join(exact.select("field", "tok", "kind").distinct(), ["field", "tok", "kind"], "left_anti")
-    left = open_.mapInArrow(typed, "field string, tok string, kind string, short boolean, key long")
+    # few bytes but much work per token: spread evenly, which also keeps the tasks from being merged
+    spread = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = open_.repartition(spread, "tok").mapInArrow(typed, "field string, tok string, kind string, short boolean, key long")
     right = forms.mapInPandas(listed, "field string, word string, as_kind string, initials array<string>, key long")
     pairs = left.join(right, ["field", "key"]).where("(kind = 'whole') = (as_kind = 'whole')")
-    pairs = pairs.select("field", "tok", "kind", "short", "word", "as_kind", "initials").distinct()
+    pairs = pairs.select("field", "tok", "kind", "short", "word", "as_kind", "initials").distinct().repartition(spread)
     out = "field string, tok string, kind string, short boolean, word string, as_kind string, sim double"
     return exact.unionByName(pairs.mapInPandas(check, out))
