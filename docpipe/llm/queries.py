@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import canon, knn
+from docpipe.llm import canon, knn, neardup
 from docpipe.sources.tables import table
 
 
@@ -60,8 +60,25 @@ def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return p2_found(spark, d).where("ref_id = 0").groupBy("field_name", "raw_value").agg(F.count("*").alias("norms"))
 
 
+NORM_SHINGLES = {
+    "full_content": neardup.Shingles("words", 3, 80, 0.6, rows=4),
+    "title": neardup.Shingles("chars", 3, 60, 0.8, rows=8),
+}
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    members, found = neardup.near_duplicates(table(spark, d, "norms"), "norm_id", NORM_SHINGLES)
+    pairs = neardup.all_pairs(members, found)
+    return pairs.select(F.col("field").alias("field_name"), F.col("a").alias("norm_id_a"), F.col("b").alias("norm_id_b"))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    members, found = neardup.near_duplicates(table(spark, d, "norms"), "norm_id", NORM_SHINGLES)
+    return neardup.groups(members, found).withColumnsRenamed({"field": "field_name", "id": "norm_id"})
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups}
 
 
 def oracle_sql() -> dict[str, str]:
