@@ -24,7 +24,7 @@ from docpipe.session import cut_lineage
 
 SEED = 77003
 SKETCH_BITS = 128
-BUCKET_CAP = 256
+BUCKET_CAP = 8192
 BLOCK = 8192
 MAX_EXPAND = 1000
 BROADCAST_IDS = 500_000
@@ -65,6 +65,25 @@ class Shingles:
             return {tuple(units[i : i + self.n]) for i in range(len(units) - self.n + 1)}
         return {units[i : i + self.n] for i in range(len(units) - self.n + 1)}
 
+    def similarity(self, u: list[str] | str, v: list[str] | str) -> float:
+        """Shared share of the distinct n-grams of two texts, exact."""
+        if self.n > 3:
+            p, q = self.items(u), self.items(v)
+            shared = len(p & q)
+            return shared / (len(p) + len(q) - shared)
+        number: dict[str, int] = {}
+        grams = []
+        for t in (u, v):  # each n-gram as one number: 21 bits hold a code point, or the number of a word
+            w = np.fromiter((number.setdefault(x, len(number)) for x in t), np.int64, len(t)) if self.unit == "words" else np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64)
+            if len(number) >= 1 << 21:
+                raise ValueError("a text of over two million different words")
+            x = np.zeros(len(w) - self.n + 1, np.int64)
+            for i in range(self.n):
+                x = x << 21 | w[i : len(w) - self.n + 1 + i]
+            grams.append(np.unique(x))
+        shared = len(np.intersect1d(*grams, assume_unique=True))
+        return shared / (len(grams[0]) + len(grams[1]) - shared)
+
 
 def class_of(field: str, spec: Shingles, units: list[str] | str) -> tuple[int, int]:
     h = xxhash.xxh3_128_intdigest(field + "\0" + ("\0".join(units) if spec.unit == "words" else units))
@@ -72,14 +91,14 @@ def class_of(field: str, spec: Shingles, units: list[str] | str) -> tuple[int, i
 
 
 class Hasher:
-    """MinHash of one field: multiply-shift functions over 64-bit hashes of the distinct n-grams."""
+    """MinHash of one field: multiply-add functions modulo 2^32 over mixed hashes of the n-grams."""
 
     def __init__(self, field: str, spec: Shingles):
         self.field, self.spec = field, spec
         r = np.random.RandomState(SEED + spec.rows)
         k = max(spec.bands * spec.rows, SKETCH_BITS)
-        self.a = (r.randint(0, 2**62, k).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-        self.b = r.randint(0, 2**62, k).astype(np.uint64)
+        self.a = r.randint(0, 2**32, k, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+        self.b = r.randint(0, 2**32, k, dtype=np.uint64).astype(np.uint32)
         self.mul = r.randint(1, 2**62, spec.rows).astype(np.uint64) | np.uint64(1)
         self.salt = np.array([xxhash.xxh3_64_intdigest(f"{field}:{i}") for i in range(spec.bands)], np.uint64)
         self.known: dict[str, int] = {}
@@ -104,16 +123,19 @@ class Hasher:
                 x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + u[i : len(u) - n + 1 + i]
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
             x ^= x >> np.uint64(31)
-        return np.unique(x)
+        return x
 
     def bands(self, units: list[str] | str) -> tuple[np.ndarray, np.ndarray]:
         """Band keys and the sketch (two 64-bit words)."""
         x = self.ngram_hashes(units)
         with np.errstate(over="ignore"):
-            m = np.full(len(self.a), ~np.uint64(0))
+            x = (x >> np.uint64(32)).astype(np.uint32)
+            m = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
             for s in range(0, len(x), 1024):  # very long texts in pieces, so the matrix stays small
-                m = np.minimum(m, (self.a[:, None] * x[None, s : s + 1024] + self.b[:, None]).min(1))
-            m >>= np.uint64(32)
+                h = self.a[:, None] * x[None, s : s + 1024]
+                h += self.b[:, None]
+                m = np.minimum(m, h.min(1))
+            m = m.astype(np.uint64)
             used = m[: self.spec.bands * self.spec.rows].reshape(self.spec.bands, self.spec.rows)
             keys = ((used + np.uint64(1)) * self.mul).sum(1, dtype=np.uint64) ^ self.salt
             keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -188,70 +210,95 @@ def _agree(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return SKETCH_BITS - np.bitwise_count((s[i] ^ s[j]).view(np.uint64)).sum(1, dtype=np.int64)
 
 
+def _meet(s: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (x in left, y in right) whose sketches agree in at least `least` bits."""
+    xs, ys = [], []
+    for p in range(0, len(left), 128):
+        rows = left[p : p + 128]
+        agree = SKETCH_BITS - np.bitwise_count((s[rows][:, None, :] ^ s[right][None, :, :]).view(np.uint64)).sum(2, dtype=np.int64)
+        x, y = np.nonzero(agree >= least)
+        xs.append(rows[x])
+        ys.append(right[y])
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
 def _pairs_in_runs(rows: DataFrame, cap: int) -> DataFrame:
-    """a, b, key: likely pairs of the runs of equal keys; members of runs above cap come out as (cls, null, key)."""
+    """a, b: likely pairs of the runs of equal keys. Members of runs above cap come out with b null and their row."""
+    names = ["key", "cls", "s0", "s1", "bits"]
+    wide = 32  # runs longer than this are compared as a matrix
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "cls", "s0", "s1", "bits"]
         held: list[np.ndarray] | None = None
         hot_key = None
 
-        def out(a: np.ndarray, b: np.ndarray, key: np.ndarray, hot: bool) -> pa.RecordBatch:
-            second = pa.nulls(len(a), pa.int64()) if hot else pa.array(b)
-            return pa.RecordBatch.from_arrays([pa.array(a), second, pa.array(key)], names=["a", "b", "key"])
+        def found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int16())]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *none], names=["a", "b", "key", "s0", "s1", "bits"])
+
+        def crowded(c: list[np.ndarray]) -> pa.RecordBatch:
+            key, cls, s0, s1, bits = c
+            return pa.RecordBatch.from_arrays([pa.array(cls), pa.nulls(len(cls), pa.int64()), pa.array(key), pa.array(s0), pa.array(s1), pa.array(bits)], names=["a", "b", "key", "s0", "s1", "bits"])
 
         def work(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, cls = c[0], c[1]
-            keep = np.ones(len(key), bool)
-            keep[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-            key, cls, s, bits = key[keep], cls[keep], np.stack([c[2][keep], c[3][keep]], 1), c[4][keep]
+            keep = np.ones(len(c[0]), bool)
+            keep[1:] = (c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1])
+            key, cls, s0, s1, bits = c = [x[keep] for x in c]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            size = np.repeat(np.diff(np.concatenate([starts, [len(key)]])), np.diff(np.concatenate([starts, [len(key)]])))
+            sizes = np.diff(np.concatenate([starts, [len(key)]]))
+            size, s = np.repeat(sizes, sizes), np.stack([s0, s1], 1)
             if (hot := size > cap).any():
-                yield out(cls[hot], cls[hot], key[hot], True)
-            use = np.flatnonzero((size > 1) & ~hot)
-            key, cls, s, bits, size = key[use], cls[use], s[use], bits[use], size[use]
-            for lag in range(1, int(size.max()) if len(size) else 0):
-                i = np.flatnonzero(key[:-lag] == key[lag:])
+                yield crowded([x[hot] for x in c])
+            for at, n in zip(starts[(sizes > wide) & (sizes <= cap)], sizes[(sizes > wide) & (sizes <= cap)], strict=True):
+                x, y = _meet(s, np.arange(at, at + n), np.arange(at, at + n), int(bits[at]))
+                if (ok := x < y).any():
+                    yield found(cls[x[ok]], cls[y[ok]])
+            use = np.flatnonzero((size > 1) & (size <= min(wide, cap)))
+            for lag in range(1, wide):
+                use = use[size[use] > lag]
+                if not len(use):
+                    break
+                i = use[(use + lag < len(key))]
+                i = i[key[i] == key[i + lag]]
                 i = i[_agree(s, i, i + lag) >= bits[i]]
                 if len(i):
-                    yield out(cls[i], cls[i + lag], key[i], False)
+                    yield found(cls[i], cls[i + lag])
 
         for b in batches:
             cur = [np.asarray(b.column(b.schema.get_field_index(n))) for n in names]
             if held is not None:
                 cur = [np.concatenate([h, c]) for h, c in zip(held, cur, strict=True)]
+                held = None
             if hot_key is not None:  # a crowded run goes on: pass its members through
-                m = cur[0] == hot_key
-                if m.any():
-                    yield out(cur[1][m], cur[1][m], cur[0][m], True)
+                if (m := cur[0] == hot_key).any():
+                    yield crowded([c[m] for c in cur])
                     cur = [c[~m] for c in cur]
                 if len(cur[0]):
                     hot_key = None
             if not len(cur[0]):
-                held = None
                 continue
             last = int(np.searchsorted(cur[0], cur[0][-1]))
-            held = [c[last:] for c in cur]
             if last:
                 yield from work([c[:last] for c in cur])
-            if len(np.unique(held[1])) > cap:
-                u = np.unique(held[1])
-                yield out(u, u, np.full(len(u), held[0][0]), True)
+            held = [c[last:] for c in cur]
+            first = np.concatenate([[True], held[1][1:] != held[1][:-1]])
+            held = [h[first] for h in held]
+            if len(held[0]) > cap:
+                yield crowded(held)
                 hot_key, held = held[0][0], None
         if held is not None and len(held[0]):
             yield from work(held)
 
-    # both: one exchange on the key, sorted so that a run is met as it streams by
+    # one exchange on the key, sorted so that a run is met as it streams by
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key").sortWithinPartitions("key", "cls").mapInArrow(pairs, "a long, b long, key long")
+    out = "a long, b long, key long, s0 long, s1 long, bits short"
+    return rows.repartition(n, "key").sortWithinPartitions("key", "cls").mapInArrow(pairs, out)
 
 
-def _pairs_in_blocks(crowded: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
-    """Likely pairs of crowded buckets: every two members meet in the task of their two blocks."""
+def _pairs_in_blocks(crowded: DataFrame, block: int) -> DataFrame:
+    """a, b: likely pairs of crowded buckets; every two members meet in the task of their two blocks."""
     sizes = crowded.groupBy("key").agg(F.count("*").alias("n"))
     placed = (
-        crowded.join(sizes, "key").join(sketches, "cls")
+        crowded.join(sizes, "key")
         .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
         .withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -262,16 +309,8 @@ def _pairs_in_blocks(crowded: DataFrame, sketches: DataFrame, block: int) -> Dat
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         blk, cls = np.asarray(t.column("blk")), np.asarray(t.column("cls"))
         s = np.stack([np.asarray(t.column("s0")), np.asarray(t.column("s1"))], 1)
-        least = t.column("bits")[0].as_py()
-        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        a, b = [], []
-        for p in range(0, len(left), 128):
-            rows = left[p : p + 128]
-            agree = SKETCH_BITS - np.bitwise_count((s[rows][:, None, :] ^ s[right][None, :, :]).view(np.uint64)).sum(2, dtype=np.int64)
-            x, y = np.nonzero(agree >= least)
-            a.append(cls[rows[x]])
-            b.append(cls[right[y]])
-        a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b))
+        x, y = _meet(s, np.flatnonzero(blk == i), np.flatnonzero(blk == j), t.column("bits")[0].as_py())
+        a, b = cls[x], cls[y]
         lo, hi = np.minimum(a, b), np.maximum(a, b)
         ok = lo < hi
         return pa.table([pa.array(lo[ok]), pa.array(hi[ok])], names=["a", "b"])
@@ -281,17 +320,12 @@ def _pairs_in_blocks(crowded: DataFrame, sketches: DataFrame, block: int) -> Dat
 
 def candidates(df: DataFrame, key: str, specs: dict[str, Shingles], bucket_cap: int = BUCKET_CAP, block: int = BLOCK) -> DataFrame:
     """a, b: pairs of class hashes that share a band and have close sketches, each once, written to the checkpoint folder."""
-    rows = _band_rows(df, key, specs)
-    met = cut_lineage(_pairs_in_runs(rows, bucket_cap).groupBy("a", "b").agg(F.min("key").alias("key")))
-    pairs = met.where("b is not null").select("a", "b")
-    if met.where("b is null").isEmpty():
-        return pairs
-    # members of every crowded bucket again, with their keys, from the band rows
-    crowded_keys = met.where("b is null").select("key").distinct()
-    members = rows.join(crowded_keys, "key", "left_semi").select("key", "cls", "s0", "s1", "bits").distinct()
-    sketches = members.select("cls", "s0", "s1", "bits").distinct()
-    blocks = _pairs_in_blocks(members.select("key", "cls"), sketches, block)
-    return cut_lineage(pairs.unionByName(blocks).distinct())
+    met = cut_lineage(_pairs_in_runs(_band_rows(df, key, specs), bucket_cap))
+    pairs, crowded = met.where("b is not null").select("a", "b"), met.where("b is null")
+    if not crowded.isEmpty():
+        crowded = crowded.select("key", F.col("a").alias("cls"), "s0", "s1", "bits").distinct()
+        pairs = pairs.unionByName(_pairs_in_blocks(crowded, block))
+    return pairs.distinct()
 
 
 def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFrame, **caps: int) -> DataFrame:
@@ -320,9 +354,7 @@ def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFram
                 u, v = spec.units(x), spec.units(y)
                 if u is None or v is None:
                     continue
-                p, q = spec.items(u), spec.items(v)
-                shared = len(p & q)
-                s = shared / (len(p) + len(q) - shared)
+                s = spec.similarity(u, v)
                 if s >= spec.threshold:
                     rows.append(r)
                     sims.append(s)
