@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import canon, knn, neardup
+from docpipe.llm import canon, knn, neardup, splitting
 from docpipe.sources.tables import table
 
 
@@ -77,8 +77,26 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(members, found).withColumnsRenamed({"field": "field_name", "id": "norm_id"})
 
 
+def _long_fields(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "norms").select(F.lit("full_content").alias("field_name"), "norm_id", F.lit(-1).alias("chunk_index"), F.col("full_content").alias("text"))
+    c = table(spark, d, "chunks").select(F.lit("chunk_text").alias("field_name"), "norm_id", "chunk_index", "text")
+    return n.unionByName(c)
+
+
+PIECE_KEYS = ["field_name", "norm_id", "chunk_index"]
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    cut = splitting.split_texts(_long_fields(spark, d), PIECE_KEYS, "text")
+    return cut.where("text_kind <> 'whole' and piece = 0").select(*PIECE_KEYS, F.col("text_kind").alias("cut_kind"))
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_texts(_long_fields(spark, d), PIECE_KEYS, "text")
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces}
 
 
 def oracle_sql() -> dict[str, str]:
