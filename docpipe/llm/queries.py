@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import canon, knn, neardup, splitting
+from docpipe.llm import canon, encoding, knn, lookalike, mixing, neardup, splitting
+from docpipe.session import cut_lineage
 from docpipe.sources.tables import table
 
 
@@ -95,8 +96,36 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_texts(_long_fields(spark, d), PIECE_KEYS, "text")
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.encode_documents(table(spark, d, "documents"), "doc_id", "text")
+
+
+def _sized_documents(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, source, tokens."""
+    docs = table(spark, d, "documents")
+    ids = encoding.encode_documents(docs, "doc_id", "text").select("doc_id", F.size("ids").alias("tokens"))
+    return docs.groupBy("doc_id").agg(F.min("source").alias("source")).join(ids, "doc_id")
+
+
+def p7_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(_sized_documents(spark, d), "doc_id", "source", "tokens", table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    docs, targets = cut_lineage(_sized_documents(spark, d)), table(spark, d, "mix_targets")
+    return mixing.shares(mixing.mix_sources(docs, "doc_id", "source", "tokens", targets), docs, "source", "tokens", targets, "doc_id")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.alike_pairs(lookalike.look_prints(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
+
+
+def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.canonical_texts(table(spark, d, "documents").dropDuplicates(["doc_id"]), ["doc_id"], "text")
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
 
 
 def oracle_sql() -> dict[str, str]:
