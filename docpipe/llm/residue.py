@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 BITS = 18
 BLOCK = 32  # two neighbouring blocks make a window
-SAMPLE_SUSPECTS = 8000  # most rows with a suspicious sign that are labelled for training
-SAMPLE_OTHERS = 2500  # most other rows that are labelled for training
-WINDOWS_PER_TEXT = 10  # most windows without a sign taken from a text
-LOWER_BOUND = 0.0
+SAMPLE_SUSPECTS = 30_000  # rows, by hash order of the key, of which those with a sign are labelled for training
+SAMPLE_OTHERS = 2_500  # rows, by hash order of the key, that are labelled in any case
+WINDOWS_PER_TEXT = 4  # most windows of a sort taken from a text
+LOWER_BOUND = -1.0
 SURE_BOUND = 4.0
 STEPS = 60
 RIDGE = 2e-4
@@ -58,8 +58,36 @@ NOTICES = (
     r"\bdebe habilitar javascript\b", r"\bhabilite javascript\b", r"\byou need to enable javascript\b", r"\bturn on scripts in your browser\b", r"\brequiere cookies y javascript\b", r"\bnavegador no (?:compatible|soporta)\b", r"\bque no es un robot\b", r"\binicie sesi[oó]n para continuar\b", r"^\s*javascript requerido\s*$",
 )
 KINDS = {"template": MARKS + GAPS, "filler": FILLER, "failed_page": ERRORS, "script_notice": NOTICES}
-# Fixed value: signs that make a row worth labelling, most of them harmless; read by the JVM's and Python's expressions alike.
-SIGNS = r"(?iu)[{}<>@#«]|__|\.{4}|\[(?!norma)|XX|%[A-Z]|\bamet\b|\blorem|\bmassa\b|\bnullam\b|qwerty|asdf|\bjkl\b|\bzzz\b|javascript|cookies|navegador|\bscripts?\b|denegado|robot|sesi[oó]n|\b[45]0\d\b|exception|traceback|sqlstate|mantenci|disponible en el visor|no encontr|p[aá]gina|do not publish|pendiente de redac|contenido|borrador|aqu[ií]|undefined|untitled|sin t[ií]tulo|plantilla|cargando|solicitudes desde"
+# Pieces of text, in lower case, of which every phrase above holds one or more. Most uses are harmless.
+SIGN_WORDS = (
+    "....", "(..", "[..", "xx/", "xx de xx", "dd/mm", "don(ña)", "lorem", "ipsum", "amet", "nunc", "viverra", "felis", "pulvinar", "rutrum", "blandit", "luctus", "congue", "ornare", "egestas", "sapien", "tellus", "fugit", "mauris", "vestra", "quaeris", "nullam", "massa", "aliqua", "cursus", "turpis", "semper", "qwerty", "asdf", "zxcv", "jkl", "xxx", "zzz", "aaaa", "va el texto", "de ejemplo", "por definir", "borrador", "pendiente de redac",
+    "tulo pendiente", "do not publish", "reemplace este", "escriba aqu", "untitled", "sin tít", "sin tit", "plantilla", "undefined", "de la norma aqu", "http status", "tiempo de espera", "service", "2 bad", "gateway", "internal", "not found",
+    "forbidden", "error 4", "error 5", "base de datos", "sqlstate", "traceback", "exception", "solicitudes desde", "mantenci", "en el visor", "denegado", "no tiene permisos", "solicitada no existe", "no encontramos", "ha caducado", "expirada",
+    "no encontrada", "no disponible", "cargando", "complete your request", "javascript", "scripts", "cookies", "navegador no", "un robot", "para continuar",
+)
+_SIGN_CHARS = re.compile(r"[{}@«]|<[<%]|__|\[(?!norma|v[eé]ase)|#(?=\w)|%(?=[a-z])|error\s+\d|sin\s+t[ií]t|p[aá]gina\s+no\s|no\s+disponible|not\s+found")
+AROUND = 200  # characters around a sign in which phrases are looked for
+
+
+def sign_spans(text: str) -> list[tuple[int, int]]:
+    """The parts of the text around signs, merged."""
+    t = text.lower()
+    if len(t) != len(text):
+        return [(0, len(text))]
+    at = [m.start() for m in _SIGN_CHARS.finditer(t)]
+    for w in SIGN_WORDS:
+        k = t.find(w)
+        while k >= 0:
+            at.append(k)
+            k = t.find(w, k + len(w))
+    out: list[tuple[int, int]] = []
+    for k in sorted(at):
+        a, e = max(0, k - AROUND), min(len(text), k + AROUND)
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], e)
+        else:
+            out.append((a, e))
+    return out
 
 
 def _any_blanks(pattern: str) -> str:
@@ -74,11 +102,11 @@ def _phrases() -> list[tuple[str, re.Pattern]]:
 
 
 def phrase_spans(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), kind) for kind, p in _phrases() for m in p.finditer(text)]
+    return [(m.start(), m.end(), kind) for a, e in sign_spans(text) for kind, p in _phrases() for m in p.finditer(text, a, e)]
 
 
 def phrase_kind(text: str) -> str | None:
-    return next((kind for kind, p in _phrases() if p.search(text)), None)
+    return next((kind for a, e in sign_spans(text) for kind, p in _phrases() if p.search(text, a, e)), None)
 
 
 @lru_cache(maxsize=1)
@@ -225,9 +253,9 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if failed and not spans:
                 label[:] = 0  # a record whose fetch only failed is no witness for clean text
             neg = np.flatnonzero(label == -1)
-            signs = {m.start() // BLOCK for m in re.finditer(SIGNS, text)}
-            hard = [k for k in neg if k in signs or k + 1 in signs][:WINDOWS_PER_TEXT]
-            rest = [k for k in neg if k not in signs and k + 1 not in signs]
+            signs = {(a + e) // 2 // BLOCK for a, e in sign_spans(text)}
+            hard = [k for k in neg if signs & {k - 1, k, k + 1}][:WINDOWS_PER_TEXT]
+            rest = [k for k in neg if not signs & {k - 1, k, k + 1}]
             step = max(1, len(rest) // WINDOWS_PER_TEXT)
             for k in [*np.flatnonzero(label == 1)[:WINDOWS_PER_TEXT], *hard, *rest[::step][:WINDOWS_PER_TEXT]]:
                 blk = w.first[i] + k
@@ -241,16 +269,20 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_windows(df: DataFrame, key: str, fields: list[str], title_field: str, url: str, failed_ids: DataFrame | None) -> DataFrame:
-    """Weakly labelled windows of a bounded sample (SAMPLE_SUSPECTS + SAMPLE_OTHERS rows, by hash order of the key).
+    """Weakly labelled windows of a bounded sample: of about SAMPLE_SUSPECTS rows those with a sign, and SAMPLE_OTHERS.
 
     fold: by host of the url where there are several hosts, else by blocks of keys that stand for them.
     """
     host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-z]+://([^/]+)", 1)
+    n = max(1, df.count())
     base = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("doc"), F.col(key).alias("k"), host.alias("host"), *fields)
+    place = (F.shiftright("doc", 11) + F.lit(1 << 52)) / F.lit(float(1 << 53))  # of the key's hash among all, 0 to 1
     signs = F.lit(False)
     for f in fields:
-        signs = signs | F.coalesce(F.col(f).rlike(SIGNS), F.lit(False))
-    picked = base.where(signs).orderBy("doc").limit(SAMPLE_SUSPECTS).unionByName(base.where(~signs).orderBy("doc").limit(SAMPLE_OTHERS))
+        low = F.lower(F.col(f))
+        for w in (*SIGN_WORDS, "{", "@@", "«", "<<", "<%", "__", "[[", "[f", "[c", "[a", "[i", "[m"):
+            signs = signs | F.coalesce(low.contains(w), F.lit(False))
+    picked = base.where((place < min(1.0, SAMPLE_OTHERS / n)) | ((place < min(1.0, SAMPLE_SUSPECTS / n)) & signs))
     failed = F.lit(False)
     if failed_ids is not None:
         picked = picked.join(failed_ids.select(F.col(key).alias("k"), F.lit(True).alias("failed")), "k", "left")
