@@ -1,0 +1,100 @@
+"""Texts into chunks at articles, paragraphs or sentences: column expressions, no Python worker involved."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from docpipe.functions.text import WS, col, est_tokens, strip
+
+TARGET, LARGEST, OVERLAP = 512, 1000, 50
+SENTENCE = rf"\.{WS}+"
+# What counts as a mark of an article, and where articles are cut.
+ARTICLE_SIGNS = (rf"Artículo{WS}+\d+", rf"ARTÍCULO{WS}+\d+", rf"Art\.{WS}+\d+", rf"Artículo{WS}+[IVXLCDM]+")
+ARTICLE_START = rf"((?:Artículo|ARTÍCULO|Art\.){WS}+\d+)"
+
+
+def normalize(c: Column | str) -> Column:
+    """Ends stripped, runs of blanks squeezed, three and more line ends reduced to two."""
+    return F.regexp_replace(F.regexp_replace(strip(c), " +", " "), "\n{3,}", "\n\n")
+
+
+def article_marks(c: Column | str) -> Column:
+    """Marks of articles, by all four signs."""
+    signs = [F.regexp_count(col(c), F.lit(p)) for p in ARTICLE_SIGNS]
+    return sum(signs[1:], signs[0]).cast("int")
+
+
+def _parts(c: Column, separator: str) -> Column:
+    return F.filter(F.transform(F.split(c, separator), strip), lambda x: x != "")
+
+
+def _empty() -> Column:
+    return F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("tokens"))
+
+
+def _closed(acc: Column) -> Column:
+    return F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
+
+
+def _state(done: Column, open_: Column, tokens: Column) -> Column:
+    return F.struct(done.alias("done"), open_.alias("open"), tokens.alias("tokens"))
+
+
+def _add(acc: Column, part: Column, limit: int, joiner: str) -> Column:
+    """part joins the open chunk while their own estimates (joiners not counted) stay within limit."""
+    t = est_tokens(part)
+    grown = F.when(acc["open"] == "", part).otherwise(F.concat(acc["open"], F.lit(joiner), part))
+    fits = acc["tokens"] + t <= limit
+    return F.when(fits, _state(acc["done"], grown, acc["tokens"] + t)).otherwise(_state(_closed(acc), part, t))
+
+
+def pack(parts: Column, limit: int, joiner: str) -> Column:
+    """Greedy packing of an array of texts in order. A part above the limit makes a chunk of its own."""
+    return F.aggregate(parts, _empty(), lambda acc, p: _add(acc, p, limit, joiner), _closed)
+
+
+def by_sentences(c: Column | str, separator: str = SENTENCE, limit: int = LARGEST) -> Column:
+    return pack(_parts(col(c), separator), limit, " ")
+
+
+def by_paragraphs(c: Column | str, target: int = TARGET, largest: int = LARGEST) -> Column:
+    """Paragraphs packed up to the target; one above the largest size is cut at sentences and stands alone."""
+
+    def step(acc: Column, p: Column) -> Column:
+        alone = _state(F.concat(_closed(acc), by_sentences(p, SENTENCE, largest)), F.lit(""), F.lit(0))
+        return F.when(est_tokens(p) > largest, alone).otherwise(_add(acc, p, target, "\n\n"))
+
+    return F.aggregate(_parts(col(c), "\n\n"), _empty(), step, _closed)
+
+
+def by_articles(c: Column | str, largest: int = LARGEST) -> Column:
+    """Cut before every article; an article above the largest size is cut at its paragraphs."""
+    marked = F.regexp_replace(col(c), ARTICLE_START, "\u0001$1")
+    return F.flatten(F.transform(_parts(marked, "\u0001"), lambda a: F.when(est_tokens(a) <= largest, F.array(a)).otherwise(by_sentences(a, "\n\n", largest))))
+
+
+def plain_chunks(c: Column | str, target: int = TARGET, largest: int = LARGEST) -> Column:
+    """Chunks of a normalised text before overlap: by articles from three marks on, else by paragraphs."""
+    return F.when(article_marks(c) >= 3, by_articles(c, largest)).otherwise(by_paragraphs(c, target, largest))
+
+
+def tail(c: Column, overlap: int = OVERLAP) -> Column:
+    """The end of a chunk that is repeated in the next: the last 1.6 characters per token, from the first sentence start in them."""
+    n = int(overlap * 1.6)
+    last = F.right(c, F.lit(n))
+    at = F.instr(last, ". ")
+    return F.when(F.length(c) <= n, c).when(at > 0, F.substr(last, at + 2)).otherwise(last)
+
+
+def with_overlap(chunks: Column, overlap: int = OVERLAP) -> Column:
+    if not overlap:
+        return chunks
+    # as a fold, so that the chunks are named once: an expression behind them would else be evaluated per element
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        new = F.when(acc["last"].isNull(), x).otherwise(F.concat(tail(acc["last"], overlap), F.lit(" [...] "), x))
+        return F.struct(x.alias("last"), F.array_append(acc["out"], new).alias("out"))
+
+    return F.aggregate(chunks, start, step, lambda acc: acc["out"])
