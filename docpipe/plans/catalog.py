@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from docpipe.plans import chunks
+from docpipe.plans import chunks, extraction, pipeline
 from docpipe.plans.registry import Query
 
-PARTS = (chunks.R,)
+PARTS = (chunks.R, extraction.R, pipeline.R)
 
 
 def queries() -> dict[str, Query]:

@@ -152,9 +152,7 @@ def with_page(df: DataFrame, html: str, out: str = "page") -> DataFrame:
     @F.pandas_udf(PAGE)
     def parse(s: pd.Series) -> pd.DataFrame:
         rows = [parse_page(h) if isinstance(h, str) else dict.fromkeys(f.name for f in PAGE.fields) for h in s]
-        df = pd.DataFrame(rows, columns=[f.name for f in PAGE.fields], index=s.index)
-        df["meta"] = [m if m is None else list(m.items()) for m in df["meta"]]
-        return df
+        return pd.DataFrame(rows, columns=[f.name for f in PAGE.fields], index=s.index)
 
     return df.withColumn(out, F.when(F.col(html).isNotNull(), parse(html)))
 

@@ -16,7 +16,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
-def run_once(source: DataFrame, by: str, where: str, files_per_batch: int = 16) -> None:
+FILES_PER_BATCH = 16
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def run_once(source: DataFrame, by: str, where: str) -> None:
     """Process what is new in a streaming source and stop; every micro-batch writes its counts under its own number.
 
     A batch that is run again overwrites its own folder, so the sums never count a row twice.
@@ -37,6 +45,8 @@ def resumable_counts(spark: SparkSession, path: str, by: str, where: str | None
     """Counts per value of `by` of a parquet table read as a stream; run twice, the second run finds nothing new."""
     where = where or shared_folder(spark, "stream")
     schema = spark.read.parquet(path).schema
+    folder, pattern = (path, "*.parquet") if _is_folder(spark, path) else path.rsplit("/", 1)
     for _ in range(2):
-        run_once(spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(path), by, where)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).option("pathGlobFilter", pattern)
+        run_once(source.parquet(folder), by, where)
     return counts_so_far(spark, by, schema[by].dataType.simpleString(), where)
