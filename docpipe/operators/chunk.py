@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docpipe.functions import chunking
 from docpipe.functions.text import est_tokens, strip
+from docpipe.session import spread_out
 
 
 def chunk_texts(df: DataFrame, keys: list[str], text: str, target: int = chunking.TARGET, largest: int = chunking.LARGEST, overlap: int = chunking.OVERLAP) -> DataFrame:
@@ -16,7 +17,7 @@ def chunk_texts(df: DataFrame, keys: list[str], text: str, target: int = chunkin
     chunk usually isn't); char_end is char_start plus the chunk's length. Null and blank texts give no row. Every
     other column of df is dropped, so clashing names don't matter; repeated rows give repeated chunks.
     """
-    whole = df.select(*keys, chunking.normalize(text).alias("__whole")).where(strip("__whole") != "")
+    whole = spread_out(df).select(*keys, chunking.normalize(text).alias("__whole")).where(strip("__whole") != "")
     plain = whole.withColumn("__plain", chunking.plain_chunks("__whole", target, largest))
     chunks = plain.withColumn("__chunks", chunking.with_overlap(F.col("__plain"), overlap))
     rows = chunks.select(*keys, "__whole", F.size("__chunks").alias("chunk_total"), F.posexplode("__chunks").alias("chunk_index", "text"))
@@ -26,5 +27,5 @@ def chunk_texts(df: DataFrame, keys: list[str], text: str, target: int = chunkin
 
 def chunk_counts(df: DataFrame, keys: list[str], text: str, **sizes: int) -> DataFrame:
     """keys, chunks: the number of chunks of every text that isn't blank."""
-    whole = df.select(*keys, chunking.normalize(text).alias("__whole")).where(strip("__whole") != "")
+    whole = spread_out(df).select(*keys, chunking.normalize(text).alias("__whole")).where(strip("__whole") != "")
     return whole.select(*keys, F.size(chunking.plain_chunks("__whole", **sizes)).alias("chunks"))

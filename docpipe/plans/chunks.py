@@ -10,6 +10,7 @@ from docpipe.functions.text import est_tokens, strip
 from docpipe.operators import batching, report
 from docpipe.operators.chunk import chunk_counts, chunk_texts
 from docpipe.plans.registry import SQL_WS, Registry, sql_strip, sql_tokens
+from docpipe.session import shuffle_partitions
 from docpipe.sources.tables import table
 
 R = Registry()
@@ -82,7 +83,9 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def norm_texts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "norms").where("norm_id is not null").groupBy("norm_id").agg(F.min("full_content").alias("text"))
+    """One text per norm. Partitioned by number before the aggregate, which then needs no shuffle of its own, since few bytes of text are much work to chunk."""
+    n = table(spark, d, "norms").where("norm_id is not null").select("norm_id", "full_content")
+    return n.repartition(shuffle_partitions(spark), "norm_id").groupBy("norm_id").agg(F.min("full_content").alias("text"))
 
 
 def doubled(spark: SparkSession, d: str) -> DataFrame:

@@ -44,3 +44,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """df, redistributed if it is read from fewer partitions than the session has cores; a large table is left as it lies.
+
+    Only for a plain scan: behind a shuffle the number of partitions is known only after the shuffle has run.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(node in plan for node in ("Aggregate", "Join", "Sort", "Window", "Repartition", "Generate", "Limit", "MapIn")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -6,11 +6,13 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import spread_out
+
 MIN_PAGE = 1000
 MIN_CONTENT = 100
 
@@ -147,14 +149,23 @@ def parse_page(html: str) -> dict:
 
 
 def with_page(df: DataFrame, html: str, out: str = "page") -> DataFrame:
-    """df with the struct PAGE of the html column; a null page gives a null struct."""
-
-    @F.pandas_udf(PAGE)
-    def parse(s: pd.Series) -> pd.DataFrame:
-        rows = [parse_page(h) if isinstance(h, str) else dict.fromkeys(f.name for f in PAGE.fields) for h in s]
-        return pd.DataFrame(rows, columns=[f.name for f in PAGE.fields], index=s.index)
-
-    return df.withColumn(out, F.when(F.col(html).isNotNull(), parse(html)))
+    """df without its html column and with the struct PAGE of it; a null page gives a null struct.
+
+    A map over batches and not a column function: the optimiser would copy that into every expression that reads a field.
+    """
+    kept = [c for c in df.columns if c != html]
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, PAGE)])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = pa.struct([("meta", pa.map_(pa.string(), pa.string())), *((f.name, pa.string()) for f in PAGE.fields[1:])])
+        for b in batches:
+            for s in range(0, b.num_rows, 256):
+                part = b.slice(s, 256)
+                pages = [None if h is None else parse_page(h) for h in part.column(len(kept)).to_pylist()]
+                rows = [None if p is None else {**p, "meta": list(p["meta"].items())} for p in pages]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), pa.array(rows, types)], names=[*kept, out])
+
+    return spread_out(df.select(*kept, html)).mapInArrow(parse, schema)
 
 
 def fetched(df: DataFrame, html: str, status: str | None = None, least: int = MIN_PAGE) -> DataFrame:
