@@ -280,6 +280,10 @@ def _repair(tokens: DataFrame, words: DataFrame) -> DataFrame:
     )
     exact = exact.select(tokens.field, "tok", "kind", "short", "word", "as_kind", F.lit(1.0).alias("sim"))
     open_ = tokens.join(exact.select("field", "tok", "kind").distinct(), ["field", "tok", "kind"], "left_anti")
+    # a token longer than any word of its sort by more than the edits and a plural ending can't stand for one
+    sort = F.when(F.col("kind") == "whole", "whole").otherwise("word").alias("kind")
+    reach = words.groupBy("field", sort).agg((F.max(F.length("word")) + WHOLE_EDITS + 2).alias("reach"))
+    open_ = open_.join(reach, ["field", "kind"]).where(F.length("tok") <= F.col("reach")).drop("reach")
     # few bytes but much work per token: spread evenly, which also keeps the tasks from being merged
     spread = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = open_.repartition(spread, "tok").mapInArrow(typed, "field string, tok string, kind string, short boolean, key long")

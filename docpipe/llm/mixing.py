@@ -35,9 +35,9 @@ def source_plan(sizes: DataFrame, targets: DataFrame, block: int = BLOCK_TOKENS)
     plan = plan.withColumn("blocks", F.floor(F.col("tokens") * F.col("max_repeats") / block))
     usable = F.when(F.col("blocks") > 0, F.col("target_share")).otherwise(0.0)
     every = Window.partitionBy()  # one row per source of the target list, a list of fixed length
-    plan = plan.withColumn("weight", usable / F.sum(usable).over(every))
+    plan = plan.withColumn("weight", F.coalesce(F.try_divide(usable, F.sum(usable).over(every)), F.lit(0.0)))
     # a source of weight w takes at most floor(n w) + 2 of the first n slots
-    room = F.when(F.col("weight") > 0, F.floor((F.col("blocks") - 2) / F.col("weight")))
+    room = F.when(F.col("weight") > 0, F.floor(F.try_divide(F.col("blocks") - 2, F.col("weight"))))
     plan = plan.withColumn("slots", F.greatest(F.coalesce(F.min(room).over(every), F.lit(0)), F.lit(0)))
     upto = every.orderBy("source").rowsBetween(Window.unboundedPreceding, 0)
     return plan.withColumn("hi", F.sum(F.coalesce("weight", F.lit(0.0))).over(upto)).withColumn("lo", F.col("hi") - F.coalesce("weight", F.lit(0.0)))
