@@ -25,6 +25,7 @@ SAMPLE_SUSPECTS = 30_000  # rows, by hash order of the key, of which those with
 SAMPLE_OTHERS = 2_500  # rows, by hash order of the key, that are labelled in any case
 WINDOWS_PER_TEXT = 4  # most windows of a sort taken from a text
 LOWER_BOUND = -1.0
+TITLE_LOWER_BOUND = -2.5  # a title is a window or two, so fewer of them come near the bound by chance
 SURE_BOUND = 4.0
 STEPS = 60
 RIDGE = 2e-4
@@ -319,7 +320,7 @@ def validate(examples: DataFrame) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model: Model, lower: float = LOWER_BOUND, sure: float = SURE_BOUND) -> DataFrame:
+def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model: Model, lower: float = LOWER_BOUND, title_lower: float = TITLE_LOWER_BOUND, sure: float = SURE_BOUND) -> DataFrame:
     """field, key, kind, score: every text with residue, one row per field and key.
 
     kind is template, filler, failed_page or script_notice by the confirming phrase, or `unnamed` for what the
@@ -342,7 +343,7 @@ def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model:
                     z = scores(windows_of(kept, np.full(len(kept), float(f == title_field))), weights, dense)
                     out_r, kinds, zs = [], [], []
                     for r, t, x in zip(rows, kept, z, strict=True):
-                        if x >= lower:
+                        if x >= (title_lower if f == title_field else lower):
                             kind = phrase_kind(t) or ("unnamed" if x >= sure else None)
                             if kind:
                                 out_r.append(r)
