@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docpipe.functions.dates import ABBREVIATED, MONTHS, from_parts, labelled_date, month_number, parse_date
 from docpipe.functions.text import WS, clean_text, clean_title, col, group1, not_empty, strip
-from docpipe.sources.html import MIN_CONTENT, fetched, meta, with_page
+from docpipe.sources.html import fetched, meta, with_page
 
 SITE = "Ley Chile"
 URL = "https://bcn.cl/leychile/navegar?idNorma="
@@ -92,7 +92,7 @@ def subject_tags(keywords: Column | str) -> Column:
 
 def full_content(page: str = "page") -> Column:
     """The first container whose text has 100 characters, else the paragraphs together, cleaned; else null."""
-    return F.coalesce(*(clean_text(F.when(F.length(c) >= MIN_CONTENT, c)) for c in (F.col(f"{page}.{n}") for n in ("norm_text", "body_text", "other_text", "paragraph_text"))))
+    return F.col(f"{page}.content")
 
 
 def summary(description: Column, og_description: Column, element: Column, content: Column, title: Column) -> Column:

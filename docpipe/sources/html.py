@@ -24,7 +24,7 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form
 PAGE = T.StructType(
     [
         T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
-        *(T.StructField(n, T.StringType()) for n in ("title", "h1", "datos", "summary_text", "norm_start", "norm_text", "body_text", "other_text", "paragraph_text")),
+        *(T.StructField(n, T.StringType()) for n in ("title", "h1", "datos", "summary_text", "norm_start", "content", "paragraph_text")),
     ]
 )
 
@@ -104,6 +104,7 @@ class _Builder(HTMLParser):
         self.at.kids.append(data)
 
 
+_BLANKS, _ENTITY = re.compile(r"\s+"), re.compile("&[a-z]+;", re.I | re.A)
 _OTHER = re.compile("contenido-norma|content|texto|articulo", re.I)
 _SUMMARY = re.compile("resumen|abstract|summary", re.I)
 
@@ -120,6 +121,7 @@ def parse_page(html: str) -> dict:
     out: dict = dict.fromkeys(f.name for f in PAGE.fields)
     out["meta"] = {}
     paragraphs = []
+    texts: dict[str, str] = {}  # of the first element of each sort of container
     for n in b.root.walk():
         cls = n.classes()
         if n.tag == "meta":
@@ -134,17 +136,21 @@ def parse_page(html: str) -> dict:
         if cls:
             if out["datos"] is None and "datos" in cls:
                 out["datos"] = n.text(stripped=False)
-            if out["norm_text"] is None and "texto_norma" in cls:
-                out["norm_text"] = n.text("\n\n", notes=True)
+            if "norm" not in texts and "texto_norma" in cls:
+                texts["norm"] = n.text("\n\n", notes=True)
                 out["norm_start"] = n.text(stripped=False)[:1000]
-            if out["body_text"] is None and "cuerpo-norma" in cls:
-                out["body_text"] = n.text("\n\n", notes=True)
-            if out["other_text"] is None and _any_class(n, _OTHER):
-                out["other_text"] = n.text("\n\n", notes=True)
+            if "body" not in texts and "cuerpo-norma" in cls:
+                texts["body"] = n.text("\n\n", notes=True)
+            if "other" not in texts and _any_class(n, _OTHER):
+                texts["other"] = n.text("\n\n", notes=True)
             if out["summary_text"] is None and _any_class(n, _SUMMARY):
                 out["summary_text"] = n.text()
     if paragraphs:
-        out["paragraph_text"] = "\n\n".join(paragraphs)
+        out["paragraph_text"] = texts["paragraphs"] = "\n\n".join(paragraphs)
+    chosen = next((texts[k] for k in ("norm", "body", "other", "paragraphs") if len(texts.get(k, "")) >= MIN_CONTENT), None)
+    if chosen is not None:
+        # cleaned here, once: as an expression the optimiser would repeat it in every rule that reads the content
+        out["content"] = _ENTITY.sub("", _BLANKS.sub(" ", chosen)).strip()
     return out
 
 
