@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docpipe.session import spread_out
+
 BITS = 18
 BLOCK = 32  # two neighbouring blocks make a window
 SAMPLE_SUSPECTS = 30_000  # rows, by hash order of the key, of which those with a sign are labelled for training
@@ -276,7 +278,7 @@ def training_windows(df: DataFrame, key: str, fields: list[str], title_field: st
     """
     host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-z]+://([^/]+)", 1)
     n = max(1, df.count())
-    base = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("doc"), F.col(key).alias("k"), host.alias("host"), *fields)
+    base = spread_out(df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("doc"), F.col(key).alias("k"), host.alias("host"), *fields))
     place = (F.shiftright("doc", 11) + F.lit(1 << 52)) / F.lit(float(1 << 53))  # of the key's hash among all, 0 to 1
     signs = F.lit(False)
     for f in fields:
@@ -329,7 +331,7 @@ def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model:
     """
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast((model.weights, model.dense))  # 2 ** BITS floats
-    base = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), *fields)
+    base = spread_out(df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), *fields))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, dense = shared.value
