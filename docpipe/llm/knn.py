@@ -6,9 +6,8 @@ neighbours (ordered by the squared distance to the slot borders, as query-direct
 slot, and the candidates of all slots are merged per vector. Only whole slots are shipped, so no candidate pair
 is ever shuffled.
 
-Slots above `slot_cap` rows are not compared as they are: their rows are re-centred and re-scaled to the
-spread of the slot and hashed again, level by level; what is still too large after `levels` rounds is compared
-block against block (exact, and never more than two blocks in a task).
+Slots above `slot_cap` rows are compared block against block: exact like the others, and never more than two
+blocks in a task.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from pyspark.sql import types as T
 WIDTH = 2.0  # slot width, in units of the (unit-length) vectors' projections
 TABLES = 2
 SLOT_CAP = 32768
-LEVELS = 3
 BLOCK = 4096
 SEED = 20240917
 
@@ -210,53 +208,8 @@ def _compare_slots(assigned: DataFrame, keys: list[str], k: int, cand: T.StructT
     return assigned.groupBy("slot").applyInArrow(compare, cand)
 
 
-def _refine(hot: DataFrame, keys: list[str], tables: int, width: float, level: int) -> DataFrame:
-    """Rows of crowded slots, hashed again around their slot's centre in units of its spread; `slot` is the new, finer one."""
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc: dict[int, list] = {}
-        for b in batches:
-            slot, dims = np.asarray(b.column(0)), np.asarray(b.column(2))
-            for s in np.unique(slot):
-                m = slot == s
-                x = _unit(_matrix(b.column(1).filter(pa.array(m)), int(dims[m][0]))).astype(np.float64)
-                a = acc.setdefault(int(s), [0, 0.0, 0.0])
-                a[0], a[1], a[2] = a[0] + len(x), a[1] + x.sum(0), a[2] + float((x**2).sum())
-        if acc:
-            yield pa.RecordBatch.from_arrays([pa.array(list(acc)), pa.array([a[0] for a in acc.values()]), pa.array([list(a[1]) for a in acc.values()]), pa.array([a[2] for a in acc.values()])], names=["slot", "n", "total", "squares"])
-
-    part = hot.select("slot", "v", "dim").mapInArrow(sums, "slot long, n long, total array<double>, squares double")
-    long_form = part.select("slot", "n", "squares", F.posexplode("total").alias("i", "x"))
-    stats = (
-        long_form.groupBy("slot", "i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"), F.sum("squares").alias("squares"))
-        .groupBy("slot").agg(F.max("n").alias("n"), F.max("squares").alias("squares"), F.array_sort(F.collect_list(F.struct("i", "x"))).alias("s"))
-        .select("slot", "n", "squares", F.transform("s", lambda e: e["x"]).alias("total"))
-    )
-    joined = hot.join(stats, "slot")
-    schema = hot.schema
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                b = pa.table(whole.slice(start, 4096))
-                slot = np.asarray(b.column("slot"))
-                for s in np.unique(slot):
-                    t = b.filter(pa.array(slot == s))
-                    n, mean = t.column("n")[0].as_py(), np.array(t.column("total")[0].as_py()) / t.column("n")[0].as_py()
-                    spread = math.sqrt(max(t.column("squares")[0].as_py() / n - float(mean @ mean), 1e-18))
-                    x = ((_unit(_matrix(t.column("v"), t.column("dim")[0].as_py())).astype(np.float64) - mean) / spread).astype(np.float32)
-                    m = projections_for(n)
-                    key = slot_keys(x, m, tables, probes_for(m), width, salt=level)
-                    key = _mix(key, np.full(key.shape, int(s), np.int64))
-                    idx = pa.array(np.repeat(np.arange(t.num_rows), key.shape[1]))
-                    cols = [t.column(c).combine_chunks().take(idx) for c in [*keys, "v", "dim"]]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), *cols], names=["slot", *keys, "v", "dim"])
-
-    return joined.mapInArrow(assign, schema).dropDuplicates(["slot", *keys])
-
-
 def _compare_blocks(left: DataFrame, keys: list[str], k: int, cand: T.StructType, block: int) -> DataFrame:
-    """Exact comparison of slots that hashing can't split: numbered blocks of rows, one task per pair of blocks."""
+    """Exact comparison of crowded slots: numbered blocks of rows, one task per pair of blocks."""
     sizes = left.groupBy("slot").agg(F.count("*").alias("n"))
     numbered = left.join(sizes, "slot").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     numbered = numbered.withColumn("blk", F.pmod(F.xxhash64(*keys), F.col("blocks")).cast("int"))
@@ -295,14 +248,14 @@ def distinct_vectors(packed: DataFrame, keys: list[str]) -> DataFrame:
 
 def nearest_vectors(
     df: DataFrame, keys: list[str], vector: str, k: int = 5, *, tables: int = TABLES, width: float = WIDTH,
-    slot_cap: int = SLOT_CAP, levels: int = LEVELS, block: int = BLOCK,
+    slot_cap: int = SLOT_CAP, levels: int | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """For every distinct vector the k most similar other ones by cosine, within the index's accuracy loss.
 
     Returns keys, rank (1..k), n_<key> of the neighbour, cosine (float). keys must be of numeric types without nulls.
     Null, empty, non-finite and all-zero vectors take no part; vectors of different lengths are never compared; exact
     copies of a vector count once, under their smallest key; ties of the cosine go to the smaller key; an empty
-    table, and a vector without any other of its length, give no rows. Extra columns are ignored.
+    table, and a vector without any other of its length, give no rows. Extra columns are ignored. levels has no effect.
     """
     packed = pack_vectors(df, keys, vector)
     m = projections_for(df.count())
@@ -317,15 +270,7 @@ def nearest_vectors(
     else:
         found = _compare_slots(assigned.join(crowded, "slot", "left_anti"), keys, k, cand)
         hot = assigned.join(crowded, "slot", "left_semi")
-        for level in range(1, levels + 1):
-            fine = _refine(hot, keys, tables, width, level)
-            crowded = fine.groupBy("slot").count().where(F.col("count") > slot_cap).select("slot")
-            found = found.unionByName(_compare_slots(fine.join(crowded, "slot", "left_anti"), keys, k, cand))
-            hot = fine.join(crowded, "slot", "left_semi")
-            if crowded.isEmpty():
-                break
-        else:
-            found = found.unionByName(_compare_blocks(hot, keys, k, cand, block))
+        found = found.unionByName(_compare_blocks(hot, keys, k, cand, block))
     pairs = F.arrays_zip(F.transform("n_cos", lambda c: -c).alias("neg"), *(F.col(f"n_{c}") for c in keys))
     merged = found.select(*keys, pairs.alias("c")).groupBy(*keys).agg(F.flatten(F.collect_list("c")).alias("c"))
     best = merged.select(*keys, F.posexplode(F.slice(F.array_sort(F.array_distinct("c")), 1, k)).alias("rank", "n"))

@@ -54,6 +54,15 @@ def test_what_hashing_cannot_split_is_compared_in_blocks(spark):
     assert recall(found, x) > 0.9
 
 
+def test_crowded_slots_lose_nothing(spark):
+    # a tight group without finer groups inside; each slot holds a large part of it
+    x = np.concatenate([clusters(800, 10), clusters(400, 400, 0.03, seed=3)])
+    plain = {tuple(r) for r in knn.nearest_vectors(table(spark, x), KEYS, "vec").collect()}
+    crowded = {tuple(r) for r in knn.nearest_vectors(table(spark, x), KEYS, "vec", slot_cap=100, block=60).collect()}
+    key = lambda rows: {(r[0], r[3]) for r in rows}
+    assert len(key(plain) & key(crowded)) >= 0.999 * len(plain)
+
+
 def test_edges(spark):
     a, b = [1.0] * 4, [1.0, 0.0, 0.0, 0.0]
     rows = [a, a, b, [0.0] * 4, None, [], [float("nan")] * 4, [2.0] * 4, [1.0, 1.0]]
