@@ -2,12 +2,13 @@
 
 Every distinct vector is put into its home slot and into the `probes` perturbed slots most likely to hold its
 neighbours (ordered by the squared distance to the slot borders, as query-directed probing does) of each of
-`tables` Gaussian (2-stable) hash tables. Vectors that share a slot of a table are compared exactly inside the
+`tables` Gaussian (2-stable) hash tables; tables and probes grow with the projections, so that recall stays level.
+Vectors that share a slot of a table are compared exactly inside the
 slot, and the candidates of all slots are merged per vector. Only whole slots are shipped, so no candidate pair
 is ever shuffled.
 
 Slots above `slot_cap` rows are compared block against block: exact like the others, and never more than two
-blocks in a task.
+blocks in a task. Vectors that met fewer than k others are compared with all vectors.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import cut_lineage
+
 WIDTH = 2.0  # slot width, in units of the (unit-length) vectors' projections
 TABLES = 2
 SLOT_CAP = 32768
@@ -34,8 +37,13 @@ def projections_for(rows: int) -> int:
     return int(min(16, max(1, round(8 + 0.75 * math.log2(max(rows, 1) / 180_000)))))
 
 
+def tables_for(projections: int) -> int:
+    return TABLES if projections <= 8 else TABLES + 1 if projections <= 13 else TABLES + 2
+
+
 def probes_for(projections: int) -> int:
-    return 2 if projections <= 9 else 3
+    """With tables_for, a recall of 0.977 to 0.996 of the 5 nearest for 5 to 16 projections on the chunk vectors of sf0.1."""
+    return {8: 3, 14: 5, 15: 6, 16: 8}.get(projections, max(2, projections - 7))
 
 
 def _gaussians(dim: int, m: int, tables: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,7 +63,7 @@ def slot_keys(x: np.ndarray, m: int, tables: int, probes: int, width: float, sal
     """(rows, tables * (probes + 1)) slot keys of the rows of x, home slots first in each table."""
     dim = x.shape[1]
     g, off, mul = _gaussians(dim, m, tables, salt)
-    near = min(4, 2 * m)
+    near = min(4 if probes <= 6 else 6, 2 * m)
     sets = [c for k in (1, 2, 3) for c in itertools.combinations(range(near), k)]
     out = []
     with np.errstate(over="ignore"):
@@ -200,7 +208,7 @@ def _compare_slots(assigned: DataFrame, keys: list[str], k: int, cand: T.StructT
     def compare(t: pa.Table) -> pa.Table:
         t = _distinct_rows(keys, t)
         if t.num_rows < 2:
-            return _rows_of(keys, t, np.empty((0, 1), int), np.empty((0, 1)), np.empty(0, int), t, k)
+            return _rows_of(keys, t, np.zeros((t.num_rows, 1), int), np.full((t.num_rows, 1), -4.0), np.arange(t.num_rows), t, k)  # met no other
         x = _unit(_matrix(t.column("v"), t.column("dim")[0].as_py()))
         pos, cos = _nearest(x, x.astype(np.float64), x, k, np.arange(len(x)))
         return _rows_of(keys, t, pos, cos, np.arange(len(x)), t, k)
@@ -240,6 +248,33 @@ def _compare_blocks(left: DataFrame, keys: list[str], k: int, cand: T.StructType
     return spread.groupBy("slot", "i", "j").applyInArrow(compare, cand)
 
 
+def _compare_with_all(few: DataFrame, every: DataFrame, keys: list[str], k: int, cand: T.StructType, block: int) -> DataFrame:
+    """Exact nearest of the rows of `few` among `every`, one task per pair of blocks."""
+    n_few, n_every = max(1, math.ceil(few.count() / block)), max(1, math.ceil(every.count() / block))
+
+    def placed(df: DataFrame, own: str, n_own: int, other: str, n_other: int, asks: bool) -> DataFrame:
+        df = df.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n_own)).cast("int"))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).select("dim", "i", "j", F.lit(asks).alias("asks"), *keys, "v")
+
+    both = placed(few, "i", n_few, "j", n_every, True).unionByName(placed(every, "j", n_every, "i", n_few, False))
+
+    def compare(t: pa.Table) -> pa.Table:
+        asks = np.asarray(t.column("asks"))
+        a, b = _distinct_rows(keys, t.filter(pa.array(asks))), _distinct_rows(keys, t.filter(pa.array(~asks)))
+        if not a.num_rows or not b.num_rows:
+            return _rows_of(keys, t.slice(0, 0), np.empty((0, 1), int), np.empty((0, 1)), np.empty(0, int), t.slice(0, 0), k)
+        dim = t.column("dim")[0].as_py()
+        y = _unit(_matrix(b.column("v"), dim))
+        pos, cos = _nearest(_unit(_matrix(a.column("v"), dim)), y.astype(np.float64), y, k, None)
+        itself = np.ones(pos.shape, bool)
+        for c in keys:
+            itself &= np.asarray(b.column(c))[pos] == np.asarray(a.column(c))[:, None]
+        cos[itself] = -4
+        return _rows_of(keys, a, pos, cos, np.arange(a.num_rows), b, k)
+
+    return both.groupBy("dim", "i", "j").applyInArrow(compare, cand)
+
+
 def distinct_vectors(packed: DataFrame, keys: list[str]) -> DataFrame:
     """Groups of exact copies collapse to the row with the smallest key (combined before the shuffle)."""
     rep = packed.groupBy("v", "dim").agg(F.min(F.struct(*keys)).alias("rep"))
@@ -247,7 +282,7 @@ def distinct_vectors(packed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def nearest_vectors(
-    df: DataFrame, keys: list[str], vector: str, k: int = 5, *, tables: int = TABLES, width: float = WIDTH,
+    df: DataFrame, keys: list[str], vector: str, k: int = 5, *, tables: int | None = None, width: float = WIDTH,
     slot_cap: int = SLOT_CAP, levels: int | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """For every distinct vector the k most similar other ones by cosine, within the index's accuracy loss.
@@ -259,7 +294,7 @@ def nearest_vectors(
     """
     packed = pack_vectors(df, keys, vector)
     m = projections_for(df.count())
-    probes = probes_for(m)
+    tables, probes = tables or tables_for(m), probes_for(m)
     cand = T.StructType(
         [*(T.StructField(c, packed.schema[c].dataType) for c in keys), *(T.StructField(f"n_{c}", T.ArrayType(packed.schema[c].dataType)) for c in keys), T.StructField("n_cos", T.ArrayType(T.FloatType()))]
     )
@@ -272,8 +307,21 @@ def nearest_vectors(
         hot = assigned.join(crowded, "slot", "left_semi")
         found = found.unionByName(_compare_blocks(hot, keys, k, cand, block))
     pairs = F.arrays_zip(F.transform("n_cos", lambda c: -c).alias("neg"), *(F.col(f"n_{c}") for c in keys))
-    merged = found.select(*keys, pairs.alias("c")).groupBy(*keys).agg(F.flatten(F.collect_list("c")).alias("c"))
-    best = merged.select(*keys, F.posexplode(F.slice(F.array_sort(F.array_distinct("c")), 1, k)).alias("rank", "n"))
+
+    def merge(found: DataFrame) -> DataFrame:
+        merged = found.select(*keys, pairs.alias("c")).groupBy(*keys).agg(F.flatten(F.collect_list("c")).alias("c"))
+        return merged.select(*keys, F.slice(F.array_sort(F.array_distinct("c")), 1, k).alias("c"))
+
+    merged = cut_lineage(merge(found))
+    short = merged.where(F.size("c") < k).select(*keys, F.size("c").alias("met"))
+    if not short.isEmpty():
+        every = distinct_vectors(packed, keys)
+        others = every.groupBy("dim").agg((F.count("*") - 1).alias("others"))  # a row per length
+        few = cut_lineage(every.join(short, keys).join(others, "dim").where("met < others").select(*keys, "v", "dim"))
+        if not few.isEmpty():
+            asked = merge(_compare_with_all(few, every, keys, k, cand, block))
+            merged = merged.join(few.select(*keys), keys, "left_anti").unionByName(asked)
+    best = merged.select(*keys, F.posexplode("c").alias("rank", "n"))
     return best.select(*keys, (F.col("rank") + 1).alias("rank"), *(F.col(f"n.n_{c}").alias(f"n_{c}") for c in keys), (-F.col("n.neg")).alias("cosine"))
 
 

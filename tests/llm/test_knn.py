@@ -63,6 +63,22 @@ def test_crowded_slots_lose_nothing(spark):
     assert len(key(plain) & key(crowded)) >= 0.999 * len(plain)
 
 
+def test_recall_does_not_fall_with_the_projections():
+    x = clusters(3000, 10, 0.03)
+    want, unit = truth(x), knn._unit(x)
+    for m in (8, 9, 11, 13, 16):
+        slots = knn.slot_keys(unit, m, knn.tables_for(m), knn.probes_for(m), knn.WIDTH)
+        assert np.mean([bool(np.intersect1d(slots[i], slots[j]).size) for i in range(0, 3000, 10) for j in want[i]]) >= 0.98
+
+
+def test_vectors_without_slot_mates_find_all_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(knn, "projections_for", lambda rows: 16)
+    x = np.random.RandomState(7).randn(60, 64).astype(np.float32)
+    found = knn.nearest_vectors(table(spark, x), KEYS, "vec", block=25)
+    assert recall(found, x) == 1
+    assert found.count() == 300
+
+
 def test_edges(spark):
     a, b = [1.0] * 4, [1.0, 0.0, 0.0, 0.0]
     rows = [a, a, b, [0.0] * 4, None, [], [float("nan")] * 4, [2.0] * 4, [1.0, 1.0]]
