@@ -26,28 +26,33 @@ def source_plan(sizes: DataFrame, targets: DataFrame, block: int = BLOCK_TOKENS)
     """source, target_share, max_repeats, docs, tokens, weight, blocks, slots, lo, hi: one row per target source.
 
     sizes: source, tokens per document. weight is target_share over the sources that have tokens (the share of a
-    source without any can't be reached and goes to the others in proportion); slots is the largest schedule in
-    which no source needs more than max_repeats rounds of its tokens. Negative or null shares and repeats count as 0.
+    source without any can't be reached and goes to the others in proportion); blocks is what max_repeats rounds of its
+    tokens give, with the last partial one; slots is the largest schedule in which sources of at least half the weight
+    last to the end. The others run out, and their later slots are left out. Negative or null shares and repeats count as 0.
     """
     have = sizes.where("source is not null").groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
     t = targets.where("source is not null").groupBy("source").agg(F.greatest(F.coalesce(F.max("target_share"), F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce(F.max("max_repeats"), F.lit(0)), F.lit(0)).alias("max_repeats"))
     plan = t.join(have, "source", "left").withColumns({"docs": F.coalesce("docs", F.lit(0)), "tokens": F.coalesce("tokens", F.lit(0))})
-    plan = plan.withColumn("blocks", F.floor(F.col("tokens") * F.col("max_repeats") / block))
+    plan = plan.withColumn("blocks", F.ceil(F.col("tokens") * F.col("max_repeats") / block))
     usable = F.when(F.col("blocks") > 0, F.col("target_share")).otherwise(0.0)
     every = Window.partitionBy()  # one row per source of the target list, a list of fixed length
     plan = plan.withColumn("weight", F.coalesce(F.try_divide(usable, F.sum(usable).over(every)), F.lit(0.0)))
-    # a source of weight w takes at most floor(n w) + 2 of the first n slots
-    room = F.when(F.col("weight") > 0, F.floor(F.try_divide(F.col("blocks") - 2, F.col("weight"))))
-    plan = plan.withColumn("slots", F.greatest(F.coalesce(F.min(room).over(every), F.lit(0)), F.lit(0)))
+    # a source of weight w takes at most floor(n w) + 2 of the first n slots; one of 1 or 2 whole blocks is used up
+    whole = F.floor(F.col("tokens") * F.col("max_repeats") / block)
+    lasts = F.when(whole > 2, F.floor(F.try_divide(whole - 2, F.col("weight")))).otherwise(F.ceil(F.try_divide(F.col("blocks"), F.col("weight"))))
+    plan = plan.withColumn("room", F.when(F.col("weight") > 0, lasts))
+    lasting = F.sum("weight").over(every.orderBy(F.desc_nulls_last("room")).rangeBetween(Window.unboundedPreceding, 0))
+    plan = plan.withColumn("enough", F.when(lasting > 0.5 - 1e-9, F.col("room")))
+    plan = plan.withColumn("slots", F.coalesce(F.max("enough").over(every), F.lit(0))).drop("room", "enough")
     upto = every.orderBy("source").rowsBetween(Window.unboundedPreceding, 0)
     return plan.withColumn("hi", F.sum(F.coalesce("weight", F.lit(0.0))).over(upto)).withColumn("lo", F.col("hi") - F.coalesce("weight", F.lit(0.0)))
 
 
 def _ranked_slots(spark_plan: DataFrame, slots: int) -> DataFrame:
-    """source, slot, rank: the schedule, with each slot's number among those of its source."""
+    """source, slot, rank: the schedule, with each slot's number among those of its source; without slots of sources that have run out."""
     spark = spark_plan.sparkSession
     # the target list is a few rows whatever the size of the corpus, so its bounds become literals
-    bounds = spark_plan.where("weight > 0").select("hi", "source").orderBy("hi").collect()
+    bounds = spark_plan.where("weight > 0").select("hi", "source", "blocks").orderBy("hi").collect()
     if not bounds:
         return spark.createDataFrame([], "source string, slot long, rank long")
     u = F.pmod((F.col("id") + 1) * F.lit(GOLDEN), F.lit(1.0))
@@ -57,7 +62,14 @@ def _ranked_slots(spark_plan: DataFrame, slots: int) -> DataFrame:
     placed = spark.range(slots).select(F.col("id").alias("slot"), owner.alias("source"), F.floor(F.col("id") / SLOTS_PER_CHUNK).alias("chunk"))
     before = _before(placed.groupBy("source", "chunk").agg(F.count("*").alias("n")), ["source"], "chunk", "n")
     local = Window.partitionBy("source", "chunk").orderBy("slot")
-    return placed.withColumn("r", F.row_number().over(local) - 1).join(before, ["source", "chunk"]).select("source", "slot", (F.col("r") + F.col("before")).alias("rank"))
+    ranked = placed.withColumn("r", F.row_number().over(local) - 1).join(before, ["source", "chunk"]).select("source", "slot", "chunk", (F.col("r") + F.col("before")).alias("rank"))
+    left = F.lit(False)
+    for r in bounds:
+        left = left | ((F.col("source") == r["source"]) & (F.col("rank") < r["blocks"]))
+    kept = ranked.where(left)
+    before = _before(kept.groupBy("chunk").agg(F.count("*").alias("n")), [], "chunk", "n")
+    number = F.row_number().over(Window.partitionBy("chunk").orderBy("slot")) - 1
+    return kept.withColumn("r", number).join(before, "chunk").select("source", (F.col("r") + F.col("before")).alias("slot"), "rank")
 
 
 def _before(sums: DataFrame, part: list[str], order: str, value: str) -> DataFrame:
@@ -69,8 +81,8 @@ def _before(sums: DataFrame, part: list[str], order: str, value: str) -> DataFra
 def mix_sources(docs: DataFrame, key: str, source: str, tokens: str, targets: DataFrame, block: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
     """slot, source, key, round, from_token, to_token: the mixture in order, as token ranges of documents.
 
-    docs: one row per document with its number of tokens. Each slot holds exactly `block` tokens; a document that
-    spans blocks is continued in the source's next slot. round counts a document's uses (0 is the first), and is
+    docs: one row per document with its number of tokens. Each slot holds exactly `block` tokens, but the last
+    of a source that has run out may hold fewer; a document that spans blocks is continued in the source's next slot. round counts a document's uses (0 is the first), and is
     always below max_repeats. Documents without a source, without tokens, or of a source that has no target are
     left out; repeated rows of a key count once. Without any usable source the result is empty.
     """

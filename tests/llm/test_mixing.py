@@ -59,6 +59,17 @@ def test_every_prefix_is_near_its_target(spark):
         assert abs(sum(owner[i] == "a" for i in range(n)) / n - 0.7) < 0.11
 
 
+def test_scarce_sources_run_out_and_leave_the_others_whole(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS_PER_CHUNK", 16)
+    docs = [*corpus({"a": 200, "b": 200}), ("s", "s", 20), ("t", "t", 50)]
+    rows, share = mixed(spark, docs, [("a", 0.5, 1), ("b", 0.3, 2), ("s", 0.1, 1), ("t", 0.1, 1)])
+    assert share["s"].tokens_used == 20 and share["t"].tokens_used == 50  # below one block; one block and a part
+    assert share["a"].tokens_used > 0.95 * share["a"].tokens_available
+    assert abs(share["a"].tokens_used / share["b"].tokens_used - 5 / 3) < 0.1
+    assert {r.slot for r in rows} == set(range(max(r.slot for r in rows) + 1))
+    assert sum(r.to_token - r.from_token for r in mixed(spark, [("s", "s", 20)], [("s", 1.0, 2)])[0]) == 40
+
+
 def test_nothing_usable(spark):
     assert mixed(spark, [], [("a", 1.0, 1)])[0] == []
     assert mixed(spark, [("x", None, 5), ("y", "a", 0), ("z", "a", None), (None, "a", 9)], [("a", 1.0, 1)])[0] == []
