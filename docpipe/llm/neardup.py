@@ -365,6 +365,12 @@ def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFram
     return both.select("field", "rep_a", "rep_b", "text_a", "text_b").mapInArrow(verify, f"field string, rep_a {id_type}, rep_b {id_type}, similarity double")
 
 
+def class_members(cls: DataFrame) -> DataFrame:
+    """field, id, rep, copies: the smallest id and the size of the class of every id."""
+    reps = cls.groupBy("field", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    return cls.join(reps, ["field", "h1", "h2"]).select("field", "id", "rep", "copies")
+
+
 def near_duplicates(df: DataFrame, key: str, specs: dict[str, Shingles], **caps: int) -> tuple[DataFrame, DataFrame]:
     """(members, links): field, id, rep, copies of every text that takes part, and the links between representatives.
 
@@ -373,25 +379,34 @@ def near_duplicates(df: DataFrame, key: str, specs: dict[str, Shingles], **caps:
     field's least size, take no part; repeated rows of an id count once; an empty table gives two empty results.
     """
     cls = cut_lineage(classes(df, key, specs))
-    reps = cls.groupBy("field", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    members = cls.join(reps, ["field", "h1", "h2"]).select("field", "id", "rep", "copies")
-    return members, links(df, key, specs, cls, **caps)
+    return class_members(cls), links(df, key, specs, cls, **caps)
 
 
-def all_pairs(members: DataFrame, found: DataFrame, max_expand: int = MAX_EXPAND) -> DataFrame:
+def all_pairs(members: DataFrame, found: DataFrame, max_expand: int | None = None) -> DataFrame:
     """field, a, b: links spelled out for the copies of their classes, and the pairs of copies.
 
-    A class of more than max_expand copies stands for itself by its representative (its copies are in `members`,
+    Large classes are spelled out in parts of about MAX_EXPAND members, so that no task holds all pairs of one.
+    With max_expand, a class of more copies stands for itself by its representative (its copies are in `members`,
     and are paired with the representative).
     """
     cut = cut_lineage(found.select("field", "rep_a", "rep_b"))
-    shown = members.where((F.col("copies") <= max_expand) | (F.col("id") == F.col("rep"))).select("field", "id", "rep")
-    between = cut.join(shown.select("field", F.col("rep").alias("rep_a"), F.col("id").alias("x")), ["field", "rep_a"]).join(shown.select("field", F.col("rep").alias("rep_b"), F.col("id").alias("y")), ["field", "rep_b"])
+    whole = F.lit(True) if max_expand is None else F.col("copies") <= max_expand
+    parts = F.ceil(F.col("copies") / MAX_EXPAND).cast("int")
+    shown = members.where(whole | (F.col("id") == F.col("rep"))).select("field", "id", "rep", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    between = cut
+    for rep in ("rep_a", "rep_b"):
+        size = shown.where("id = rep").select("field", F.col("rep").alias(rep), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(f"part_{rep}"))
+        between = between.join(size, ["field", rep])
+    for rep, to in (("rep_a", "x"), ("rep_b", "y")):
+        between = between.join(shown.select("field", F.col("rep").alias(rep), F.col("part").alias(f"part_{rep}"), F.col("id").alias(to)), ["field", rep, f"part_{rep}"])
     copies = members.where("copies > 1")
-    small = copies.where(F.col("copies") <= max_expand)
-    within = small.select("field", "rep", F.col("id").alias("x")).join(small.select("field", "rep", F.col("id").alias("y")), ["field", "rep"]).where("x < y")
-    large = copies.where((F.col("copies") > max_expand) & (F.col("id") != F.col("rep")))
-    out = between.select("field", "x", "y").unionByName(within.select("field", "x", "y")).unionByName(large.select("field", F.col("rep").alias("x"), F.col("id").alias("y")))
+    small = copies.where(whole).select("field", "id", "rep", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    every = small.select("field", "rep", F.col("id").alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    within = small.select("field", "rep", "part", F.col("id").alias("x")).join(every, ["field", "rep", "part"]).where("x < y")
+    out = between.select("field", "x", "y").unionByName(within.select("field", "x", "y"))
+    if max_expand is not None:
+        large = copies.where(~whole & (F.col("id") != F.col("rep")))
+        out = out.unionByName(large.select("field", F.col("rep").alias("x"), F.col("id").alias("y")))
     return out.select("field", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 

@@ -78,6 +78,12 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(members, found).withColumnsRenamed({"field": "field_name", "id": "norm_id"})
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every norm that takes part, with the smallest id of its class of copies and the size of the class."""
+    members = neardup.class_members(neardup.classes(table(spark, d, "norms"), "norm_id", NORM_SHINGLES))
+    return members.withColumnsRenamed({"field": "field_name", "id": "norm_id"})
+
+
 def _long_fields(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "norms").select(F.lit("full_content").alias("field_name"), "norm_id", F.lit(-1).alias("chunk_index"), F.col("full_content").alias("text"))
     c = table(spark, d, "chunks").select(F.lit("chunk_text").alias("field_name"), "norm_id", "chunk_index", "text")
@@ -152,7 +158,7 @@ def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_validation": p5_validation, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_validation": p5_validation, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
 
 
 def oracle_sql() -> dict[str, str]:

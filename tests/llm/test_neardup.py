@@ -73,6 +73,14 @@ def test_copies_form_one_class(spark):
     assert {(r.a, r.b) for r in star.collect()} == {(0, i) for i in range(1, 12)}
 
 
+def test_large_classes_are_spelled_out_with_their_links(spark):
+    n = neardup.MAX_EXPAND + 5
+    members = spark.createDataFrame([("body", i, 0, n) for i in range(n)] + [("body", n + i, n, 2) for i in range(2)], "field string, id long, rep long, copies long")
+    links = spark.createDataFrame([("body", 0, n)], "field string, rep_a long, rep_b long")
+    got = neardup.all_pairs(members, links)
+    assert got.count() == got.distinct().count() == n * (n - 1) // 2 + 1 + 2 * n
+
+
 def test_edges(spark):
     short, long = "uno dos tres", "palabra única " * 50_000
     rows = [(1, None, None), (None, "x " * 50, "y" * 50), (2, "", ""), (3, short, short), (4, long, "a" * 500), (5, long + "fin", "a" * 501)]
