@@ -105,27 +105,30 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
 RESIDUE_FIELDS = ["full_content", "title"]
 
 
-def _residue_examples(spark: SparkSession, d: str) -> DataFrame:
+def _residue_sample(spark: SparkSession, d: str) -> DataFrame:
     log = table(spark, d, "scrape_log").where("norm_id is not null").groupBy("norm_id").agg(F.max(F.col("event").isin("norm_parsed", "document_stored").cast("int")).alias("ok"))
     failed = log.where("ok = 0")
-    return residue.training_windows(table(spark, d, "norms"), "norm_id", RESIDUE_FIELDS, "title", "official_url", failed)
+    return residue.training_texts(table(spark, d, "norms"), "norm_id", RESIDUE_FIELDS, "title", "official_url", failed)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    model = residue.train(_residue_examples(spark, d))
-    found = residue.detect(table(spark, d, "norms"), "norm_id", RESIDUE_FIELDS, "title", model)
-    return found.select(F.col("field").alias("field_name"), "norm_id")
+    return p5_kinds(spark, d).select(F.col("field").alias("field_name"), "norm_id")
 
 
 def p5_kinds(spark: SparkSession, d: str) -> DataFrame:
-    model = residue.train(_residue_examples(spark, d))
+    model = residue.train(_residue_sample(spark, d))
     return residue.detect(table(spark, d, "norms"), "norm_id", RESIDUE_FIELDS, "title", model)
 
 
+def p5_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The norms that stay: those of which neither text nor title is residue."""
+    return table(spark, d, "norms").where("norm_id is not null").select("norm_id").distinct().join(p5_kinds(spark, d), "norm_id", "left_anti")
+
+
 def p5_validation(spark: SparkSession, d: str) -> DataFrame:
-    """Held-out precision and recall of the classifier alone, by windows."""
-    rows = residue.validate(_residue_examples(spark, d))
-    df = spark.createDataFrame(rows, "fold int, positives int, found int, taken int, negatives int")
+    """Precision and recall by windows of hosts (or, where there is one host, blocks of keys) kept out of the fit."""
+    rows = residue.validate(_residue_sample(spark, d))
+    df = spark.createDataFrame(rows, "held_out string, fold int, positives int, found int, taken int, negatives int")
     return df.withColumn("recall", F.try_divide("found", "positives")).withColumn("precision", F.try_divide("found", "taken"))
 
 
@@ -158,7 +161,7 @@ def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_validation": p5_validation, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_kept": p5_kept, "p5_validation": p5_validation, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,9 +1,10 @@
 """Template residue, filler, error pages and script notices: a linear classifier over short windows of a text.
 
-Every text is scored in overlapping windows of 64 characters by a regularised logistic regression on hashed n-grams
+Every text is scored in overlapping windows of 32 characters by a regularised logistic regression on hashed n-grams
 (of folded characters, and of the shape of the text), length and title features. It is fitted on windows of a bounded
-sample, labelled weakly by phrases and by the outcome logged for the record, and validated on hosts it has not seen.
-A text is taken if a window scores above the sure bound, or above the lower bound and a phrase confirms it.
+sample, labelled weakly by phrases and by the outcome logged for the record, fitted again with the clean windows it
+took for residue, and validated on hosts it has not seen. A text is taken if a window scores at or above the bound;
+the phrases have no part in that.
 """
 
 from __future__ import annotations
@@ -19,18 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpipe.session import spread_out
+from docpipe.session import cut_lineage, spread_out
 
 BITS = 18
-BLOCK = 32  # two neighbouring blocks make a window
-SAMPLE_SUSPECTS = 30_000  # rows, by hash order of the key, of which those with a sign are labelled for training
-SAMPLE_OTHERS = 2_500  # rows, by hash order of the key, that are labelled in any case
-WINDOWS_PER_TEXT = 4  # most windows of a sort taken from a text
-LOWER_BOUND = -1.0
-TITLE_LOWER_BOUND = -2.5  # a title is a window or two, so fewer of them come near the bound by chance
-SURE_BOUND = 4.0
-STEPS = 60
+BLOCK = 16  # two neighbouring blocks make a window
+SAMPLE_ROWS = 40_000  # rows, by hash order of the key, that are searched for the phrases of the weak labels
+SAMPLE_CLEAN = 10_000  # of these, rows of which windows without residue are learned too
+WINDOWS_PER_TEXT = 2  # most windows of a sort learned from a text, evenly spread over it
+HARD_PER_TEXT = 2  # most clean windows of a text that the first fit took for residue and the second learns
+HARD_SCORE = -1.0
+BOUND = 1.0
+TITLE_BOUND = 0.25  # a title is a window or two, so fewer of them come near the bound by chance
+FIRST_STEPS, STEPS = 30, 60
 RIDGE = 2e-4
+LEAST_COUNT = 4  # n-grams met less often in training have no weight
+FOLDS = 5
 ORDERS = (4, 7)  # n-grams of characters
 SHAPES = (3, 5)  # n-grams of shapes
 
@@ -69,20 +73,23 @@ SIGN_WORDS = (
     "no encontrada", "no disponible", "cargando", "complete your request", "javascript", "scripts", "cookies", "navegador no", "un robot", "para continuar",
 )
 _SIGN_CHARS = re.compile(r"[{}@«]|<[<%]|__|\[(?!norma|v[eé]ase)|#(?=\w)|%(?=[a-z])|error\s+\d|sin\s+t[ií]t|p[aá]gina\s+no\s|no\s+disponible|not\s+found")
+_PLAIN_SIGNS = tuple(dict.fromkeys((*(w for w in SIGN_WORDS if " " not in w), *_LATIN.split())))
+_SPACED_SIGNS = re.compile("|".join(re.escape(w).replace("\\ ", r"\s+") for w in SIGN_WORDS if " " in w))
 AROUND = 200  # characters around a sign in which phrases are looked for
 
 
 def sign_spans(text: str) -> list[tuple[int, int]]:
-    """The parts of the text around signs, merged."""
+    """The parts of the text around signs, merged. Blanks of any sort and number count as one."""
     t = text.lower()
     if len(t) != len(text):
         return [(0, len(text))]
     at = [m.start() for m in _SIGN_CHARS.finditer(t)]
-    for w in SIGN_WORDS:
+    for w in _PLAIN_SIGNS:
         k = t.find(w)
         while k >= 0:
             at.append(k)
             k = t.find(w, k + len(w))
+    at += [m.start() for m in _SPACED_SIGNS.finditer(t)]
     out: list[tuple[int, int]] = []
     for k in sorted(at):
         a, e = max(0, k - AROUND), min(len(text), k + AROUND)
@@ -185,23 +192,28 @@ def windows_of(texts: list[str], title: np.ndarray) -> Windows:
     return Windows(streams, np.repeat(np.arange(len(texts)), blocks), first, blocks, dense)
 
 
-def scores(w: Windows, weights: np.ndarray, dense_weights: np.ndarray) -> np.ndarray:
-    """The highest window score of each text."""
+def window_scores(w: Windows, weights: np.ndarray, dense_weights: np.ndarray) -> np.ndarray:
+    """The score of the window that starts at each block; -inf for the last block of a text with several."""
     n = len(w.of)
     total, count = np.zeros(n), np.zeros(n)
     for block, idx in w.streams:
         total += np.bincount(block, weights[idx], n)
         count += np.bincount(block, minlength=n)
-    last = np.concatenate([w.of[1:] != w.of[:-1], [True]]) if n else np.empty(0, bool)
+    if not n:
+        return np.empty(0)
+    last = np.concatenate([w.of[1:] != w.of[:-1], [True]])
     nxt_t, nxt_c = np.concatenate([total[1:], [0]]), np.concatenate([count[1:], [0]])
     pair_t, pair_c = total + np.where(last, 0, nxt_t), count + np.where(last, 0, nxt_c)
-    z = pair_t / np.sqrt(np.maximum(pair_c, 1))
-    if n:
-        # the last block of a text with several is part of the window before
-        z[last & (w.blocks[w.of] > 1)] = -np.inf
-        best = np.maximum.reduceat(z, w.first)
-        return best + w.dense @ dense_weights
-    return np.empty(0)
+    z = pair_t / np.sqrt(np.maximum(pair_c, 1)) + (w.dense @ dense_weights)[w.of]
+    # the last block of a text with several is part of the window before
+    z[last & (w.blocks[w.of] > 1)] = -np.inf
+    return z
+
+
+def scores(w: Windows, weights: np.ndarray, dense_weights: np.ndarray) -> np.ndarray:
+    """The highest window score of each text."""
+    z = window_scores(w, weights, dense_weights)
+    return np.maximum.reduceat(z, w.first) if len(z) else np.empty(0)
 
 
 @dataclass
@@ -210,14 +222,17 @@ class Model:
     dense: np.ndarray
 
 
-def fit(rows: np.ndarray, idx: np.ndarray, norm: np.ndarray, dense: np.ndarray, y: np.ndarray) -> Model:
+def fit(rows: np.ndarray, idx: np.ndarray, norm: np.ndarray, dense: np.ndarray, y: np.ndarray, steps: int = STEPS) -> Model:
     """Logistic regression with an L2 penalty by accelerated full-batch steps. rows/idx: the sparse entries."""
     d = 1 << BITS
+    # an n-gram of few windows is a name or a number by chance, no sign
+    common = np.bincount(idx, minlength=d)[idx] >= LEAST_COUNT
+    rows, idx = rows[common], idx[common]
     value = (1 / norm)[rows]
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
     w, v = np.zeros(d), np.zeros(dense.shape[1])
     m1, m2, n1, n2 = np.zeros(d), np.zeros(d), np.zeros_like(v), np.zeros_like(v)
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         z = np.bincount(rows, w[idx] * value, len(y)) + dense @ v
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - (y > 0)) / len(y)
         gw = np.bincount(idx, g[rows] * value, d) + RIDGE * w / 10
@@ -232,69 +247,101 @@ def fit(rows: np.ndarray, idx: np.ndarray, norm: np.ndarray, dense: np.ndarray,
 
 
 _EXAMPLE = "y int, fold int, doc long, dense array<double>, idx array<int>"
+_NO_EXAMPLES = pa.schema([("y", pa.int32()), ("fold", pa.int32()), ("doc", pa.int64()), ("dense", pa.list_(pa.float64())), ("idx", pa.list_(pa.int32()))])
+
+
+def _weak_labels(text: str, count: int, failed: bool) -> np.ndarray:
+    """Per window: 1 if a phrase lies in it, 0 if it is near one or can't be judged, -1 if clean."""
+    spans = phrase_spans(text)
+    label = np.full(count, 0 if failed and not spans else -1)  # a record whose fetch only failed is no witness for clean text
+    lo = np.arange(count) * BLOCK
+    hi = lo + 2 * BLOCK
+    for a, e, _ in spans:
+        inside = np.minimum(hi, e) - np.maximum(lo, a)
+        near = (np.minimum(hi, e + 100) - np.maximum(lo, a - 100)) > 0
+        label = np.where(inside >= min(e - a, BLOCK), 1, np.where((label == -1) & near, 0, label))
+    return label
+
+
+def _picked(text: str, label: np.ndarray, clean: bool, z: np.ndarray | None) -> list[int]:
+    """Windows of a text to learn from: without scores those with a phrase, near a sign, and evenly spread others; with scores the clean ones taken for residue."""
+    neg = np.flatnonzero(label == -1)
+    if z is not None:
+        return [k for k in neg[np.argsort(-z[neg])][:HARD_PER_TEXT] if z[k] > HARD_SCORE]
+    picked = list(np.flatnonzero(label == 1)[:WINDOWS_PER_TEXT])
+    if clean:
+        signs = np.array([(a + e) // 2 // BLOCK for a, e in sign_spans(text)])
+        close = np.isin(neg, np.concatenate([signs - 1, signs, signs + 1])) if len(signs) else np.zeros(len(neg), bool)
+        for group in (neg[close], neg[~close]):
+            picked += list(group[:: max(1, len(group) // WINDOWS_PER_TEXT)][:WINDOWS_PER_TEXT])
+    return picked
+
+
+def labelled_windows(texts: DataFrame, model: Model | None = None) -> DataFrame:
+    """y, fold, doc, dense, idx: weakly labelled windows of the sample; with a model the clean windows it takes for residue.
+
+    texts: text, is_title, failed, fold, doc, clean, as from training_texts.
+    """
+    shared = None if model is None else texts.sparkSession.sparkContext.broadcast((model.weights, model.dense))
 
-
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows with weak labels. Columns in: text, is_title, failed, group, doc."""
-    for b in batches:
-        rows = [r for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[0]]
-        texts, title = [r[0] for r in rows], np.array([float(r[1]) for r in rows])
-        w = windows_of(texts, title)
-        order = [np.argsort(block, kind="stable") for block, _ in w.streams]
-        sorted_blocks = [block[o] for (block, _), o in zip(w.streams, order, strict=True)]
-        out: list[list] = [[], [], [], [], []]
-        for i, (text, _, failed, group, doc) in enumerate(rows):
-            spans = phrase_spans(text)
-            n = int(w.blocks[i])
-            count = max(1, n - 1)
-            label = np.full(count, -1)
-            for a, e, _ in spans:
-                lo, hi = np.arange(count) * BLOCK, np.arange(count) * BLOCK + 2 * BLOCK
-                inside = np.minimum(hi, e) - np.maximum(lo, a)
-                near = (np.minimum(hi, e + 100) - np.maximum(lo, a - 100)) > 0
-                label = np.where(inside >= min(e - a, BLOCK), 1, np.where((label == -1) & near, 0, label))
-            if failed and not spans:
-                label[:] = 0  # a record whose fetch only failed is no witness for clean text
-            neg = np.flatnonzero(label == -1)
-            signs = {(a + e) // 2 // BLOCK for a, e in sign_spans(text)}
-            hard = [k for k in neg if signs & {k - 1, k, k + 1}][:WINDOWS_PER_TEXT]
-            rest = [k for k in neg if not signs & {k - 1, k, k + 1}]
-            step = max(1, len(rest) // WINDOWS_PER_TEXT)
-            for k in [*np.flatnonzero(label == 1)[:WINDOWS_PER_TEXT], *hard, *rest[::step][:WINDOWS_PER_TEXT]]:
-                blk = w.first[i] + k
-                idx = []
-                for (_, h), o, sb in zip(w.streams, order, sorted_blocks, strict=True):
-                    lo, hi = np.searchsorted(sb, blk), np.searchsorted(sb, blk + (2 if n > 1 else 1))
-                    idx.append(h[o[lo:hi]])
-                for c, v in zip(out, (int(label[k]), int(group), int(doc), w.dense[i].tolist(), np.concatenate(idx).astype(np.int32)), strict=True):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.float64())), pa.array(out[4], pa.list_(pa.int32()))], names=["y", "fold", "doc", "dense", "idx"])
-
-
-def training_windows(df: DataFrame, key: str, fields: list[str], title_field: str, url: str, failed_ids: DataFrame | None) -> DataFrame:
-    """Weakly labelled windows of a bounded sample: of about SAMPLE_SUSPECTS rows those with a sign, and SAMPLE_OTHERS.
-
-    fold: by host of the url where there are several hosts, else by blocks of keys that stand for them.
+    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [r for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[0] and (r[5] or model_given or sign_spans(r[0]))]
+            w = windows_of([r[0] for r in rows], np.array([float(r[1]) for r in rows]))
+            z = window_scores(w, *shared.value) if model_given else None
+            order = [np.argsort(block, kind="stable") for block, _ in w.streams]
+            sorted_blocks = [block[o] for (block, _), o in zip(w.streams, order, strict=True)]
+            out: list[list] = [[], [], [], [], []]
+            for i, (text, _, failed, fold, doc, clean) in enumerate(rows):
+                n = int(w.blocks[i])
+                count = max(1, n - 1)
+                if model_given and not (clean and (z[w.first[i] : w.first[i] + count] > HARD_SCORE).any()):
+                    continue
+                label = _weak_labels(text, count, failed)
+                for k in _picked(text, label, clean, z[w.first[i] : w.first[i] + count] if model_given else None):
+                    blk = w.first[i] + k
+                    idx = []
+                    for (_, h), o, sb in zip(w.streams, order, sorted_blocks, strict=True):
+                        lo, hi = np.searchsorted(sb, blk), np.searchsorted(sb, blk + (2 if n > 1 else 1))
+                        idx.append(h[o[lo:hi]])
+                    for c, v in zip(out, (int(label[k]), int(fold), int(doc), w.dense[i].tolist(), np.concatenate(idx).astype(np.int32)), strict=True):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _NO_EXAMPLES, strict=True)], schema=_NO_EXAMPLES)
+
+    model_given = model is not None
+    return texts.mapInArrow(examples, _EXAMPLE)
+
+
+def training_texts(df: DataFrame, key: str, fields: list[str], title_field: str, url: str, failed_ids: DataFrame | None) -> DataFrame:
+    """text, is_title, failed, fold, doc, clean, held_out: the texts of a bounded sample of rows, written to the checkpoint folder.
+
+    The sample is the first SAMPLE_ROWS rows by hash of the key; of SAMPLE_CLEAN of them windows without residue are
+    learned too. fold is what validation holds out together: whole hosts of the url if at least two hosts have a
+    hundredth of the sample each (held_out = host), else blocks of 50 neighbouring keys (held_out = key_block), which
+    is weaker: it says nothing about hosts never seen.
     """
-    host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-z]+://([^/]+)", 1)
+    host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z]+://([^/]+)", 1)
+    base = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("doc"), F.col(key).alias("k"), F.lower(host).alias("host"), *fields)
     n = max(1, df.count())
-    base = spread_out(df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("doc"), F.col(key).alias("k"), host.alias("host"), *fields))
     place = (F.shiftright("doc", 11) + F.lit(1 << 52)) / F.lit(float(1 << 53))  # of the key's hash among all, 0 to 1
-    signs = F.lit(False)
-    for f in fields:
-        low = F.lower(F.col(f))
-        for w in (*SIGN_WORDS, "{", "@@", "«", "<<", "<%", "__", "[[", "[f", "[c", "[a", "[i", "[m"):
-            signs = signs | F.coalesce(low.contains(w), F.lit(False))
-    picked = base.where((place < min(1.0, SAMPLE_OTHERS / n)) | ((place < min(1.0, SAMPLE_SUSPECTS / n)) & signs))
+    picked = base.where(place < min(1.0, SAMPLE_ROWS / n)).withColumn("clean", place < min(1.0, SAMPLE_CLEAN / n))
     failed = F.lit(False)
     if failed_ids is not None:
         picked = picked.join(failed_ids.select(F.col(key).alias("k"), F.lit(True).alias("failed")), "k", "left")
         failed = F.coalesce("failed", F.lit(False))
-    hosts = df.sparkSession.conf.get("docpipe.residue.folds", "5")
-    fold = F.pmod(F.when(F.col("host") != "", F.xxhash64("host", F.floor(F.col("k") / 50))).otherwise(F.xxhash64("k")), F.lit(int(hosts))).cast("int")
-    texts = [F.struct(F.col(f).alias("text"), F.lit(f == title_field).alias("is_title")) for f in fields]
-    long = picked.select("doc", fold.alias("fold"), failed.alias("failed"), F.explode(F.array(*texts)).alias("t")).select("t.text", "t.is_title", "failed", "fold", "doc")
-    return long.where("text is not null").repartition(8).mapInArrow(_examples, _EXAMPLE)
+    picked = cut_lineage(picked.withColumn("failed", failed).repartition(df.sparkSession.sparkContext.defaultParallelism))
+    # at most as many hosts as sampled rows
+    sizes = picked.where("host <> ''").groupBy("host").agg(F.countDistinct("k").alias("n"))
+    known = [r["host"] for r in sizes.where(F.col("n") >= min(n, SAMPLE_ROWS) / 100).orderBy(F.desc("n"), "host").collect()]
+    if len(known) > 1:
+        fold = F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")
+        for i, h in enumerate(known):
+            fold = F.when(F.col("host") == h, i % FOLDS).otherwise(fold)
+    else:
+        fold = F.pmod(F.xxhash64(F.floor(F.col("k") / 50)), F.lit(FOLDS)).cast("int")
+    texts = F.explode(F.array(*(F.struct(F.col(f).alias("text"), F.lit(f == title_field).alias("is_title")) for f in fields)))
+    out = picked.select(texts.alias("t"), "failed", fold.alias("fold"), "doc", "clean", F.lit("host" if len(known) > 1 else "key_block").alias("held_out"))
+    return out.select("t.text", "t.is_title", "failed", "fold", "doc", "clean", "held_out").where("text is not null")
 
 
 def _arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
@@ -305,29 +352,43 @@ def _arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
     return rows, np.asarray(lists.flatten()), np.sqrt(np.maximum(lens, 1)), dense, np.asarray(t.column("y"))
 
 
-def train(examples: DataFrame) -> Model:
-    return fit(*_arrays(examples.toArrow().sort_by([("doc", "ascending")])))
+def _learned(texts: DataFrame) -> tuple[Model, pa.Table]:
+    """The model and what it was fitted on: first the labelled windows, then also the clean windows it took for residue."""
+    sample = texts.select("text", "is_title", "failed", "fold", "doc", "clean")
+    by_key = [("doc", "ascending"), ("y", "ascending")]
+    t = labelled_windows(sample).toArrow().sort_by(by_key)
+    model = fit(*_arrays(t), steps=FIRST_STEPS)
+    t = pa.concat_tables([t, labelled_windows(sample, model).toArrow()]).sort_by(by_key)
+    return fit(*_arrays(t)), t
+
+
+def train(texts: DataFrame) -> Model:
+    """The classifier, from the sample that training_texts gives. Without examples of both sorts it takes nothing."""
+    return _learned(texts)[0]
 
 
-def validate(examples: DataFrame) -> list[tuple[int, int, int, int, int]]:
-    """(fold, positives, found, taken, negatives) per held-out fold, by windows, at score 0."""
-    t = examples.toArrow().sort_by([("doc", "ascending")])
+def validate(texts: DataFrame, bound: float | None = None, title_bound: float | None = None) -> list[tuple]:
+    """(held_out, fold, positives, found, taken, negatives) per fold that was kept out of the fit, by windows, at the bounds of detect."""
+    bound, title_bound = BOUND if bound is None else bound, TITLE_BOUND if title_bound is None else title_bound
+    first = texts.select("held_out").first()
+    t = _learned(texts)[1]
     fold = np.asarray(t.column("fold"))
     out = []
     for f in np.unique(fold):
         m = fit(*_arrays(t.filter(pa.array(fold != f))))
         rows, idx, norm, dense, y = _arrays(t.filter(pa.array(fold == f)))
         z = np.bincount(rows, m.weights[idx] / norm[rows], len(y)) + dense @ m.dense
-        out.append((int(f), int((y > 0).sum()), int(((z > 0) & (y > 0)).sum()), int((z > 0).sum()), int((y <= 0).sum())))
+        taken = z >= np.where(dense[:, 1] > 0, title_bound, bound)
+        out.append((first[0], int(f), int((y > 0).sum()), int((taken & (y > 0)).sum()), int(taken.sum()), int((y <= 0).sum())))
     return out
 
 
-def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model: Model, lower: float = LOWER_BOUND, title_lower: float = TITLE_LOWER_BOUND, sure: float = SURE_BOUND) -> DataFrame:
-    """field, key, kind, score: every text with residue, one row per field and key.
+def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model: Model, bound: float = BOUND, title_bound: float = TITLE_BOUND) -> DataFrame:
+    """field, key, kind, score: every text of which a window scores at or above the bound, one row per field and key.
 
-    kind is template, filler, failed_page or script_notice by the confirming phrase, or `unnamed` for what the
-    classifier alone is sure of. Null keys and texts give no row, nor do empty texts; of rows of one key the highest
-    score counts. Whole texts are scored, whatever their length.
+    The score alone decides; kind only names what was found: template, filler, failed_page or script_notice by the
+    first known phrase, or `unnamed`. Null keys and texts give no row, nor do empty texts; of rows of one key the
+    highest score counts. Whole texts are scored, whatever their length.
     """
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast((model.weights, model.dense))  # 2 ** BITS floats
@@ -343,15 +404,9 @@ def detect(df: DataFrame, key: str, fields: list[str], title_field: str, model:
                     rows = [r for r, t in enumerate(texts) if t]
                     kept = [texts[r] for r in rows]
                     z = scores(windows_of(kept, np.full(len(kept), float(f == title_field))), weights, dense)
-                    out_r, kinds, zs = [], [], []
-                    for r, t, x in zip(rows, kept, z, strict=True):
-                        if x >= (title_lower if f == title_field else lower):
-                            kind = phrase_kind(t) or ("unnamed" if x >= sure else None)
-                            if kind:
-                                out_r.append(r)
-                                kinds.append(kind)
-                                zs.append(float(x))
-                    yield pa.RecordBatch.from_arrays([pa.array([f] * len(out_r), pa.string()), part.column(0).take(pa.array(out_r, pa.int64())), pa.array(kinds, pa.string()), pa.array(zs, pa.float64())], names=["field", "k", "kind", "score"])
+                    hits = np.flatnonzero(z >= (title_bound if f == title_field else bound))
+                    out_r, kinds = [rows[h] for h in hits], [phrase_kind(kept[h]) or "unnamed" for h in hits]
+                    yield pa.RecordBatch.from_arrays([pa.array([f] * len(out_r), pa.string()), part.column(0).take(pa.array(out_r, pa.int64())), pa.array(kinds, pa.string()), pa.array(z[hits].astype(float), pa.float64())], names=["field", "k", "kind", "score"])
 
     kind = base.schema["k"].dataType.simpleString()
     hits = base.mapInArrow(score, f"field string, k {kind}, kind string, score double")
