@@ -44,7 +44,7 @@ def test_classifier_on_whole_tables(spark, small):
     df = texts_of(
         spark,
         [(1, lorem, "Acceso denegado", "x"), (1, lorem, "Acceso denegado", "x"), (2, None, None, "x"), (3, "", "", "x"), (None, "qwerty asdf", "x", "x"),
-         (4, "El titular del permiso deberá presentar el plano de deslindes. " * 5, "DECRETO 5 APRUEBA PLANO DE DESLINDES DEL PREDIO", "x"), (5, "El titular deberá presentar el plano. " * 20000, "DECRETO 6 MODIFICA PLANO DE DESLINDES DEL PREDIO", "x")],
+         (4, "El titular del permiso deberá presentar el plano de deslindes. " * 5, "DECRETO 5 APRUEBA PLANO DE DESLINDES DEL PREDIO Y ASIGNA RECURSOS AL COMITÉ", "x"), (5, "El titular deberá presentar el plano. " * 20000, "DECRETO 6 MODIFICA PLANO DE DESLINDES DEL PREDIO Y ASIGNA RECURSOS AL COMITÉ", "x")],
     )
     found = residue.detect(df, "norm_id", ["full_content", "title"], "title", model).collect()
     assert ("full_content", 1) in {(r.field, r.norm_id) for r in found}
