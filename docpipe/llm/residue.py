@@ -250,9 +250,8 @@ _EXAMPLE = "y int, fold int, doc long, dense array<double>, idx array<int>"
 _NO_EXAMPLES = pa.schema([("y", pa.int32()), ("fold", pa.int32()), ("doc", pa.int64()), ("dense", pa.list_(pa.float64())), ("idx", pa.list_(pa.int32()))])
 
 
-def _weak_labels(text: str, count: int, failed: bool) -> np.ndarray:
+def _weak_labels(spans: list[tuple[int, int, str]], count: int, failed: bool) -> np.ndarray:
     """Per window: 1 if a phrase lies in it, 0 if it is near one or can't be judged, -1 if clean."""
-    spans = phrase_spans(text)
     label = np.full(count, 0 if failed and not spans else -1)  # a record whose fetch only failed is no witness for clean text
     lo = np.arange(count) * BLOCK
     hi = lo + 2 * BLOCK
@@ -263,13 +262,11 @@ def _weak_labels(text: str, count: int, failed: bool) -> np.ndarray:
     return label
 
 
-def _picked(text: str, label: np.ndarray, clean: bool, z: np.ndarray | None) -> list[int]:
-    """Windows of a text to learn from: without scores those with a phrase, near a sign, and evenly spread others; with scores the clean ones taken for residue."""
-    neg = np.flatnonzero(label == -1)
-    if z is not None:
-        return [k for k in neg[np.argsort(-z[neg])][:HARD_PER_TEXT] if z[k] > HARD_SCORE]
+def _picked(text: str, label: np.ndarray, clean: bool) -> list[int]:
+    """Windows of a text to learn from: those with a phrase, clean ones near a sign, and other clean ones, evenly spread."""
     picked = list(np.flatnonzero(label == 1)[:WINDOWS_PER_TEXT])
     if clean:
+        neg = np.flatnonzero(label == -1)
         signs = np.array([(a + e) // 2 // BLOCK for a, e in sign_spans(text)])
         close = np.isin(neg, np.concatenate([signs - 1, signs, signs + 1])) if len(signs) else np.zeros(len(neg), bool)
         for group in (neg[close], neg[~close]):
@@ -277,38 +274,53 @@ def _picked(text: str, label: np.ndarray, clean: bool, z: np.ndarray | None) ->
     return picked
 
 
+def _examples(rows: list[tuple], weights: np.ndarray | None, dense: np.ndarray | None) -> pa.RecordBatch:
+    """Labelled windows of rows (text, is_title, failed, fold, doc, clean); with weights the clean windows they take for residue."""
+    out: list[list] = [[], [], [], [], []]
+    hard = weights is not None
+    if hard:  # only clean windows are asked for
+        rows = [(r, []) for r in rows if r[5]]
+    else:
+        rows = [(r, spans) for r in rows if (spans := phrase_spans(r[0])) or r[5]]
+    w = windows_of([r[0] for r, _ in rows], np.array([float(r[1]) for r, _ in rows]))
+    z = window_scores(w, weights, dense) if hard else None
+    order = [np.argsort(block, kind="stable") for block, _ in w.streams]
+    sorted_blocks = [block[o] for (block, _), o in zip(w.streams, order, strict=True)]
+    for i, ((text, _, failed, fold, doc, clean), spans) in enumerate(rows):
+        n, first = int(w.blocks[i]), int(w.first[i])
+        count = max(1, n - 1)
+        if hard:
+            zs = z[first : first + count]
+            if not (zs > HARD_SCORE).any():
+                continue
+            label = _weak_labels(phrase_spans(text), count, failed)
+            neg = np.flatnonzero((label == -1) & (zs > HARD_SCORE))
+            picked = list(neg[np.argsort(-zs[neg], kind="stable")][:HARD_PER_TEXT])
+        else:
+            label = _weak_labels(spans, count, failed)
+            picked = _picked(text, label, clean)
+        for k in picked:
+            blk, idx = first + k, []
+            for (_, h), o, sb in zip(w.streams, order, sorted_blocks, strict=True):
+                lo, hi = np.searchsorted(sb, blk), np.searchsorted(sb, blk + (2 if n > 1 else 1))
+                idx.append(h[o[lo:hi]])
+            for c, v in zip(out, (int(label[k]), int(fold), int(doc), w.dense[i].tolist(), np.concatenate(idx).astype(np.int32)), strict=True):
+                c.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _NO_EXAMPLES, strict=True)], schema=_NO_EXAMPLES)
+
+
 def labelled_windows(texts: DataFrame, model: Model | None = None) -> DataFrame:
     """y, fold, doc, dense, idx: weakly labelled windows of the sample; with a model the clean windows it takes for residue.
 
     texts: text, is_title, failed, fold, doc, clean, as from training_texts.
     """
-    shared = None if model is None else texts.sparkSession.sparkContext.broadcast((model.weights, model.dense))
+    shared = texts.sparkSession.sparkContext.broadcast((None, None) if model is None else (model.weights, model.dense))
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [r for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[0] and (r[5] or model_given or sign_spans(r[0]))]
-            w = windows_of([r[0] for r in rows], np.array([float(r[1]) for r in rows]))
-            z = window_scores(w, *shared.value) if model_given else None
-            order = [np.argsort(block, kind="stable") for block, _ in w.streams]
-            sorted_blocks = [block[o] for (block, _), o in zip(w.streams, order, strict=True)]
-            out: list[list] = [[], [], [], [], []]
-            for i, (text, _, failed, fold, doc, clean) in enumerate(rows):
-                n = int(w.blocks[i])
-                count = max(1, n - 1)
-                if model_given and not (clean and (z[w.first[i] : w.first[i] + count] > HARD_SCORE).any()):
-                    continue
-                label = _weak_labels(text, count, failed)
-                for k in _picked(text, label, clean, z[w.first[i] : w.first[i] + count] if model_given else None):
-                    blk = w.first[i] + k
-                    idx = []
-                    for (_, h), o, sb in zip(w.streams, order, sorted_blocks, strict=True):
-                        lo, hi = np.searchsorted(sb, blk), np.searchsorted(sb, blk + (2 if n > 1 else 1))
-                        idx.append(h[o[lo:hi]])
-                    for c, v in zip(out, (int(label[k]), int(fold), int(doc), w.dense[i].tolist(), np.concatenate(idx).astype(np.int32)), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _NO_EXAMPLES, strict=True)], schema=_NO_EXAMPLES)
-
-    model_given = model is not None
+            for s in range(0, b.num_rows, 128):
+                yield _examples([r for r in zip(*(c.to_pylist() for c in b.slice(s, 128).columns), strict=True) if r[0]], *shared.value)
+
     return texts.mapInArrow(examples, _EXAMPLE)
 
 
