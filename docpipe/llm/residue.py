@@ -65,16 +65,17 @@ NOTICES = (
     r"\bdebe habilitar javascript\b", r"\bhabilite javascript\b", r"\byou need to enable javascript\b", r"\bturn on scripts in your browser\b", r"\brequiere cookies y javascript\b", r"\bnavegador no (?:compatible|soporta)\b", r"\bque no es un robot\b", r"\binicie sesi[oó]n para continuar\b", r"^\s*javascript requerido\s*$",
 )
 KINDS = {"template": MARKS + GAPS, "filler": FILLER, "failed_page": ERRORS, "script_notice": NOTICES}
-# Pieces of text, in lower case, of which every phrase above holds one or more. Most uses are harmless.
+# Pieces of text, in lower case, of which the phrases above hold one or more (but for fillers of none but
+# a few short words). Most uses are harmless; they only save searching the rest of a training text.
 SIGN_WORDS = (
-    "....", "(..", "[..", "xx/", "xx de xx", "dd/mm", "don(ña)", "lorem", "ipsum", "amet", "nunc", "viverra", "felis", "pulvinar", "rutrum", "blandit", "luctus", "congue", "ornare", "egestas", "sapien", "tellus", "fugit", "mauris", "vestra", "quaeris", "nullam", "massa", "aliqua", "cursus", "turpis", "semper", "qwerty", "asdf", "zxcv", "jkl", "xxx", "zzz", "aaaa", "va el texto", "de ejemplo", "por definir", "borrador", "pendiente de redac",
+    "....", "(..", "[..", "xx/", "xx de xx", "dd/mm", "don(ña)", "lorem", "ipsum", "amet", "consectetur", "adipiscing", "minim", "lacus", "arbor", "velit", "nunc", "viverra", "felis", "pulvinar", "rutrum", "blandit", "luctus", "congue", "ornare", "egestas", "sapien", "tellus", "fugit", "mauris", "vestra", "quaeris", "nullam", "massa", "aliqua", "cursus", "turpis", "semper", "qwerty", "asdf", "zxcv", "jkl", "xxx", "zzz", "aaaa", "va el texto", "de ejemplo", "por definir", "borrador", "pendiente de redac",
     "tulo pendiente", "do not publish", "reemplace este", "escriba aqu", "untitled", "sin tít", "sin tit", "plantilla", "undefined", "de la norma aqu", "http status", "tiempo de espera", "service", "2 bad", "gateway", "internal", "not found",
     "forbidden", "error 4", "error 5", "base de datos", "sqlstate", "traceback", "exception", "solicitudes desde", "mantenci", "en el visor", "denegado", "no tiene permisos", "solicitada no existe", "no encontramos", "ha caducado", "expirada",
     "no encontrada", "no disponible", "cargando", "complete your request", "javascript", "scripts", "cookies", "navegador no", "un robot", "para continuar",
 )
 _SIGN_CHARS = re.compile(r"[{}@«]|<[<%]|__|\[(?!norma|v[eé]ase)|#(?=\w)|%(?=[a-z])|error\s+\d|sin\s+t[ií]t|p[aá]gina\s+no\s|no\s+disponible|not\s+found")
-_PLAIN_SIGNS = tuple(dict.fromkeys((*(w for w in SIGN_WORDS if " " not in w), *_LATIN.split())))
-_SPACED_SIGNS = re.compile("|".join(re.escape(w).replace("\\ ", r"\s+") for w in SIGN_WORDS if " " in w))
+_PLAIN_SIGNS = tuple(w for w in SIGN_WORDS if " " not in w)
+_SPACED_SIGNS = {w: re.compile(re.escape(w).replace("\\ ", r"\s+")) for w in SIGN_WORDS if " " in w}
 AROUND = 200  # characters around a sign in which phrases are looked for
 
 
@@ -89,7 +90,10 @@ def sign_spans(text: str) -> list[tuple[int, int]]:
         while k >= 0:
             at.append(k)
             k = t.find(w, k + len(w))
-    at += [m.start() for m in _SPACED_SIGNS.finditer(t)]
+    squeezed = " ".join(t.split())
+    for w, p in _SPACED_SIGNS.items():
+        if w in squeezed:
+            at += [m.start() for m in p.finditer(t)]
     out: list[tuple[int, int]] = []
     for k in sorted(at):
         a, e = max(0, k - AROUND), min(len(text), k + AROUND)
