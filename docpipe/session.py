@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(master: str = "local[*]", app: str = "docpipe", **conf: str) -> SparkSession:
@@ -46,16 +47,42 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SMALL_INPUT = 1 << 30  # bytes
+
+
 def spread_out(df: DataFrame) -> DataFrame:
-    """df, redistributed if it is read from fewer partitions than the session has cores; a large table is left as it lies.
+    """df, redistributed over the session's cores if the files it is read from are fewer than these and below SMALL_INPUT in all.
 
-    Only for a plain scan: behind a shuffle the number of partitions is known only after the shuffle has run.
+    For work that costs far more per byte than moving the rows does. A large table, and what reads no files, is left as it lies.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(node in plan for node in ("Aggregate", "Join", "Sort", "Window", "Repartition", "Generate", "Limit", "MapIn")):
+    spark = df.sparkSession
+    files = df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not files or len(files) >= cores:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    size = sum(path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in files)
+    return df.repartition(cores) if size < SMALL_INPUT else df
+
+
+REPEAT_BUCKETS = 1 << 20
+
+
+def once_per_key(df: DataFrame, keys: list[str], value: str, buckets: int = REPEAT_BUCKETS) -> DataFrame:
+    """keys and value, one row per key, moving only the values of keys that are met more than once (the smallest value stands).
+
+    Repeated keys are found on keys alone and kept as hash buckets, at most `buckets` numbers, which are broadcast. All
+    rows of such a bucket are grouped; the others stay where they are. Keys must not be null. Counts the repeats at once.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")
+    twice = cut_lineage(df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(bucket).distinct())
+    base = df.select(*keys, value)
+    if twice.isEmpty():
+        return base
+    marked, twice = base.withColumn("__bucket", bucket), F.broadcast(twice)
+    single = marked.join(twice, "__bucket", "left_anti").select(*keys, value)
+    repeated = marked.join(twice, "__bucket", "left_semi").groupBy(*keys).agg(F.min(value).alias(value))
+    return single.unionByName(repeated.select(*keys, value))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
