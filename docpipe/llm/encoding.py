@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import once_per_key
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-LEAF = 1 << 15
+LEAF = 1 << 12
 # Fixed value: the word pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -117,9 +119,9 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str = VOCABULARY,
 
     The null and the empty text have the empty list; strings that look like special tokens are ordinary text. Rows
     without a key are left out; rows of one key count once (if their texts differ, the smallest). An empty table
-    gives an empty result; extra columns are ignored.
+    gives an empty result; extra columns are ignored. Only texts of repeated keys and leaves of long texts are moved.
     """
-    base = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.min(F.col(text)).alias("__t"))
+    base = once_per_key(df.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(text).alias("__t")), ["__k"], "__t")
     kind = base.schema["__k"].dataType
     ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
 

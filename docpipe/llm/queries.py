@@ -136,6 +136,11 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_documents(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p6_ids_by_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The same ids by leaves of eight characters, so that almost every text is cut and every longer word goes through the tree."""
+    return encoding.encode_documents(table(spark, d, "documents"), "doc_id", "text", leaf=8)
+
+
 def _sized_documents(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, source, tokens."""
     docs = table(spark, d, "documents")
@@ -161,7 +166,7 @@ def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_kept": p5_kept, "p5_validation": p5_validation, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_kept": p5_kept, "p5_validation": p5_validation, "p6_ids": p6_ids, "p6_ids_by_tree": p6_ids_by_tree, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import once_per_key
+
 TOKENS_PER_CHAR = 0.6
 LIMIT = 1000
 OVERLAP = 50
@@ -95,10 +97,10 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
 def split_texts(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """One row per piece: keys, piece, start, end, overlap_chars, cut, est_tokens, text_kind, piece_text.
 
-    Texts within the limit come out as one piece with cut = end. text_kind is `whole`, `boundary` or, if some
-    unbroken run of non-blank characters is itself above the limit, `forced`. Null keys and texts give no row, the
-    empty text one empty piece; repeated rows of a key count once (the smallest text, if they differ). Rows within
-    the limit never reach Python.
+    Texts within the limit come out as one piece with cut = end. text_kind is `whole`, `forced` if some piece had to be
+    cut by force (which is so exactly if some unbroken run of non-blank characters is itself above the limit), else
+    `boundary`. Null keys and texts give no row, the empty text one empty piece; repeated rows of a key count once (the
+    smallest text, if they differ). Rows within the limit never reach Python, and only texts of repeated keys are moved.
     """
     most = chars_within(limit)
     base = df.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))
@@ -115,9 +117,10 @@ def split_texts(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, o
                 part = b.slice(s, 256)
                 rows, cols = [], [[] for _ in range(8)]
                 for r, t in enumerate(part.column(part.num_columns - 1).to_pylist()):
-                    kind = "forced" if longest_run(t) > most else "boundary"
+                    cuts = pieces(t, limit, overlap)
+                    kind = "forced" if any(how == "forced" for _, _, how in cuts) else "boundary"
                     before = 0
-                    for i, (a, e, how) in enumerate(pieces(t, limit, overlap)):
+                    for i, (a, e, how) in enumerate(cuts):
                         rows.append(r)
                         for c, v in zip(cols, (i, a, e, before - a if i else 0, how, tokens(e - a), kind, t[a:e]), strict=True):
                             c.append(v)
@@ -127,8 +130,8 @@ def split_texts(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, o
                 arrays = [part.column(i).take(idx) for i in range(len(keys))] + [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    long = base.where(F.length("__text") > most).groupBy(*keys).agg(F.min("__text").alias("__text"))
-    short = base.where(F.length("__text") <= most).groupBy(*keys).agg(F.min("__text").alias("__text"))
+    one = once_per_key(base, keys, "__text")
+    long, short = one.where(F.length("__text") > most), one.where(F.length("__text") <= most)
     whole = short.select(
         *keys, F.lit(0).alias("piece"), F.lit(0).alias("start"), F.length("__text").alias("end"), F.lit(0).alias("overlap_chars"), F.lit("end").alias("cut"),
         F.floor(F.length("__text") * F.lit(TOKENS_PER_CHAR)).cast("int").alias("est_tokens"), F.lit("whole").alias("text_kind"), F.col("__text").alias("piece_text"),
