@@ -70,6 +70,34 @@ def test_scarce_sources_run_out_and_leave_the_others_whole(spark, monkeypatch):
     assert sum(r.to_token - r.from_token for r in mixed(spark, [("s", "s", 20)], [("s", 1.0, 2)])[0]) == 40
 
 
+def test_small_sources_do_not_empty_the_mixture(spark):
+    docs = [*((f"big{i}", "big", 500) for i in range(400)), ("tiny", "tiny", 1500)]
+    for size, uses in ((1500, 1), (1024, 1), (1000, 1), (10, 3)):  # more than a block, one block, less than a block, three uses of less
+        rows, share = mixed(spark, [*docs[:-1], ("tiny", "tiny", size)], [("big", 0.9, 4), ("tiny", 0.1, uses)], block=1024)
+        assert share["tiny"].tokens_used == size * uses and share["tiny"].reason == "used up"
+        assert share["big"].tokens_used >= 4 * 400 * 500 - 1024
+        assert {r.slot for r in rows} == set(range(max(r.slot for r in rows) + 1))
+
+
+def test_exhaustion_is_exact_on_an_interval_of_high_discrepancy(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS_PER_CHUNK", 1 << 12)
+    # the middle source owns [0.438, 0.892), which golden-ratio points visit unevenly; every block of it must be met
+    plan = spark.createDataFrame([("a", 0.438, 200_000, 200_000, 0.438), ("b", 0.454, 5000, 5001, 0.892), ("c", 0.108, 200_000, 200_000, 1.0)], "source string, weight double, whole long, blocks long, hi double")
+    slots = mixing.schedule(plan)
+    by = {r.source: (r.n, r.top) for r in slots.groupBy("source").agg({"rank": "count", "slot": "max"}).withColumnsRenamed({"count(rank)": "n", "max(slot)": "top"}).collect()}
+    assert by["b"][0] == 5001  # used up, while a and c, more than half the weight, last much longer
+    assert by["a"][0] == 200_000
+    n = slots.count()
+    assert slots.agg({"slot": "max"}).first()[0] == n - 1 and slots.select("slot").distinct().count() == n
+    ranks = slots.groupBy("source").agg({"rank": "max"}).collect()
+    assert all(r[1] == by[r[0]][0] - 1 for r in ranks)  # no hole in a source's own numbering
+
+
+def test_reasons(spark):
+    share = mixed(spark, [*corpus({"a": 50, "extra": 3}), ("z", "z", 0)], [("a", 0.5, 1), ("gone", 0.2, 1), ("z", 0.2, 1), ("n", 0.1, 0)])[1]
+    assert {s: r.reason for s, r in share.items()} == {"a": "used up", "extra": "no target", "gone": "no documents", "z": "no tokens", "n": "no documents"}
+
+
 def test_nothing_usable(spark):
     assert mixed(spark, [], [("a", 1.0, 1)])[0] == []
     assert mixed(spark, [("x", None, 5), ("y", "a", 0), ("z", "a", None), (None, "a", 9)], [("a", 1.0, 1)])[0] == []
