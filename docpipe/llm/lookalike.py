@@ -20,20 +20,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.session import cut_lineage, once_per_key
+
 # Compatibility forms that look like what they decompose to. Raised, lowered, encircled, stacked and
 # squared forms do not.
 SAME_LOOK_TAGS = frozenset(("<wide>", "<narrow>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>"))
-# Letters of other alphabets drawn like Latin ones.
-LOOK_ALIKES = {
-    "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C",
-    "Т": "T", "У": "Y", "Х": "X", "Ү": "Y", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W", "Ӏ": "I",
-    "а": "a", "е": "e", "ѕ": "s", "і": "i", "ј": "j", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "һ": "h", "ԁ": "d",
-    "ԛ": "q", "ԝ": "w", "ү": "y", "ӏ": "l",
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T",
-    "Υ": "Y", "Χ": "X", "ο": "o", "ϲ": "c", "ϳ": "j", "ν": "v", "Ϲ": "C",
-    "ı": "ı", "ɡ": "g", "ǃ": "!",
-    "‐": "-", "‑": "-", "⁃": "-", "−": "-", "ʹ": "'", "ʼ": "'", "’": "'", "‘": "'", "ʻ": "'", "′": "'", "“": '"', "”": '"', "″": '"',
-}
+# Letters of other alphabets and the Latin ones they are drawn like, script by script, in parallel; then
+# marks. Letters that only resemble a Latin one in another size, slant or with a part more are not listed.
+SAME_SHAPES = (
+    ("АВЕЅІЈКМНОРСТУХҮԌԚԜӀѴ", "ABESIJKMHOPCTYXYGQWIV"),  # Cyrillic capitals
+    ("аеѕіјорсухһԁԛԝүӏѵ", "aesijopcyxhdqwylv"),  # Cyrillic small letters
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ", "ABEZHIKMNOPTYXC"),  # Greek capitals
+    ("αγικνορυϲϳ", "ayikvopucj"),  # Greek small letters
+    ("ՍՏՕԼ", "USOL"),  # Armenian capitals
+    ("օսոհցզյ", "ounhgqj"),  # Armenian small letters
+    ("ɑɡɩʋ", "agiu"),  # phonetic letters
+    ("ⲀⲂⲤⲎⲒⲔⲘⲚⲞⲢⲦⲨⲬ", "ABCHIKMNOPTYX"),  # Coptic capitals
+    ("ⲟⲣⲥ", "opc"),  # Coptic small letters
+    ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEGHJKLMPRSTVWZ"),  # Cherokee
+    ("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ"),  # Lisu
+    ("‐‑⁃−", "----"),
+    ("ʹʼ’‘ʻ′", "''''''"),
+    ("“”″", '"""'),
+    ("ǃ", "!"),
+)
+LOOK_ALIKES = {x: y for others, latin in SAME_SHAPES for x, y in zip(others, latin, strict=True)}
 DROPPED = -1
 
 
@@ -170,8 +181,15 @@ def _compose(new: np.ndarray, of: np.ndarray, cls: np.ndarray, keys: np.ndarray,
 
 
 def canonical_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, canonical, changed: the one form of every text. Null texts stay null, in changed too."""
+    """keys, canonical, changed: the one form of every text. Null texts stay null, in changed too.
+
+    Null keys give no row; rows of one key count once (if their texts differ, the smallest). Only texts of repeated
+    keys are moved.
+    """
     base = df.select(*keys, F.col(text).alias("__text"))
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    base = once_per_key(base, keys, "__text")
     schema = T.StructType([*(base.schema[k] for k in keys), T.StructField("canonical", T.StringType()), T.StructField("changed", T.BooleanType())])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +230,36 @@ def look_prints(df: DataFrame, key: str, text: str) -> DataFrame:
     return base.mapInArrow(prints, schema).dropDuplicates(["k"]).withColumnRenamed("k", key)
 
 
+PART = 1000  # documents of a look that one task pairs with the rest
+
+
+def alike_classes(prints: DataFrame, key: str) -> DataFrame:
+    """key, class_id, form_id, class_size, forms, links: one row per document with visible text.
+
+    class_id is the smallest key of the documents of one look, form_id that of those equal as stored, forms the number
+    of stored forms of the look, and links the number of documents that look the same without being equal as stored.
+    A look that a third of all documents share is grouped by its stored forms first.
+    """
+    looks, raws = ["look_1", "look_2"], ["raw_1", "raw_2"]
+    prints = cut_lineage(prints)
+    form = prints.groupBy(*looks, *raws).agg(F.min(key).alias("form_id"), F.count("*").alias("form_size"))
+    look = form.groupBy(*looks).agg(F.min("form_id").alias("class_id"), F.sum("form_size").alias("class_size"), F.count("*").alias("forms"))
+    known = form.join(look, looks).select(*looks, *raws, "class_id", "form_id", "class_size", "forms", (F.col("class_size") - F.col("form_size")).alias("links"))
+    return prints.join(known, [*looks, *raws]).select(key, "class_id", "form_id", "class_size", "forms", "links")
+
+
 def alike_pairs(prints: DataFrame, key: str) -> DataFrame:
-    """<key>_a, <key>_b: texts of one look that aren't equal as stored. Only looks with several stored forms are joined."""
+    """<key>_a, <key>_b: texts of one look that aren't equal as stored, every such pair once.
+
+    Only looks with several stored forms are joined, and a look of many documents in parts of about PART of them, each
+    against all, so that no task holds all pairs of one. Where such a group makes the pairs too many by nature,
+    alike_classes says the same in a row per document.
+    """
     looks = ["look_1", "look_2"]
-    forms = prints.select(*looks, "raw_1", "raw_2").distinct().groupBy(*looks).agg(F.count("*").alias("forms")).where("forms > 1").select(*looks)
-    kept = prints.join(forms, looks, "left_semi")
-    a, b = (kept.select(*looks, F.struct("raw_1", "raw_2").alias(f"raw_{s}"), F.col(key).alias(f"{key}_{s}")) for s in "ab")
-    return a.join(b, looks).where((F.col(f"{key}_a") < F.col(f"{key}_b")) & (F.col("raw_a") != F.col("raw_b"))).select(f"{key}_a", f"{key}_b")
+    prints = cut_lineage(prints)
+    forms = prints.groupBy(*looks, "raw_1", "raw_2").agg(F.count("*").alias("n")).groupBy(*looks).agg(F.count("*").alias("forms"), F.sum("n").alias("size")).where("forms > 1")
+    kept = prints.join(forms.select(*looks, F.ceil(F.col("size") / PART).cast("int").alias("parts")), looks)
+    kept = kept.select(*looks, "parts", F.struct("raw_1", "raw_2").alias("raw"), F.col(key).alias("k"))
+    a = kept.select(*looks, F.pmod(F.xxhash64("k"), F.col("parts")).cast("int").alias("part"), F.col("raw").alias("raw_a"), F.col("k").alias(f"{key}_a"))
+    b = kept.select(*looks, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("raw").alias("raw_b"), F.col("k").alias(f"{key}_b"))
+    return a.join(b, [*looks, "part"]).where((F.col(f"{key}_a") < F.col(f"{key}_b")) & (F.col("raw_a") != F.col("raw_b"))).select(f"{key}_a", f"{key}_b")

@@ -162,11 +162,15 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
-    return lookalike.canonical_texts(table(spark, d, "documents").dropDuplicates(["doc_id"]), ["doc_id"], "text")
+    return lookalike.canonical_texts(table(spark, d, "documents"), ["doc_id"], "text")
+
+
+def p8_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.alike_classes(lookalike.look_prints(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_kept": p5_kept, "p5_validation": p5_validation, "p6_ids": p6_ids, "p6_ids_by_tree": p6_ids_by_tree, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical}
+    return {"p1_found": p1_found, "p1_neighbors": p1_neighbors, "p1_copies": p1_copies, "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p3_found": p3_found, "p3_groups": p3_groups, "p3_classes": p3_classes, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_kinds": p5_kinds, "p5_kept": p5_kept, "p5_validation": p5_validation, "p6_ids": p6_ids, "p6_ids_by_tree": p6_ids_by_tree, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_canonical": p8_canonical, "p8_classes": p8_classes}
 
 
 def oracle_sql() -> dict[str, str]:
