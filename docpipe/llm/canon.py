@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from docpipe.session import cut_lineage
 
-# Words that carry no meaning of their own in Spanish names, and marks typed before or after a value.
+# Words that carry no meaning of their own in Spanish names.
 STOPWORDS = frozenset("a al de del e el en la las lo los o para por u un una y".split())
-EDGE_WORDS = frozenset("general tema".split())
 
 MIN_COVERAGE = 0.6  # share of an entry's squared weight that the value must cover
 MIN_SCORE = 0.5
@@ -47,19 +46,12 @@ def tokens_of(s: str) -> list[tuple[str, bool]]:
     t = _INITIALS.sub(lambda m: re.sub(r"[^a-z0-9]", "", m[0]) + " ", fold(s))
     t = re.sub(r"[©ªº°]", "", t)
     found = [(w.rstrip("."), w.endswith(".")) for w in _TOKEN.findall(t)]
-    kept = [(w, a) for i, (w, a) in enumerate(found) if (w not in STOPWORDS or (a and i and i == len(found) - 1)) and not w.isdigit()]
-    if len(kept) > 1 and kept[-1][0] in EDGE_WORDS and re.search(r"\(", s):
-        kept = kept[:-1]
-    if len(kept) > 1 and kept[0][0] in EDGE_WORDS and re.match(r"\W*\w+\s*:", s):
-        kept = kept[1:]
-    return kept
+    return [(w, a) for i, (w, a) in enumerate(found) if (w not in STOPWORDS or (a and i and i == len(found) - 1)) and not w.isdigit()]
 
 
 def whole_of(s: str) -> str:
-    """All letters of the value in one piece, without marks around it."""
-    t = re.sub(r"\((?:general)\)", " ", fold(s))
-    t = re.sub(r"^\W*(?:tema\s*:|\d+\.)", " ", t)
-    return re.sub(r"[^a-z]", "", t)
+    """All letters of the value in one piece."""
+    return re.sub(r"[^a-z]", "", fold(s))
 
 
 def deletions(w: str, n: int) -> set[str]:
@@ -226,7 +218,7 @@ def match_values(values: DataFrame, refs: DataFrame) -> DataFrame:
     # both are small against the table they come from and used by several joins below
     toks = cut_lineage(distinct.mapInPandas(cut, schema))
     words = cut_lineage(reference_words(refs))
-    by_token = _repair(toks.select("field", "tok", "kind", "short").distinct(), words)
+    by_token = cut_lineage(_repair(toks.select("field", "tok", "kind", "short").distinct(), words))
 
     hits = toks.join(by_token, ["field", "tok", "kind", "short"]).join(
         words.select("field", "ref_id", "word", F.col("kind").alias("as_kind"), "weight", "norm2"), ["field", "word", "as_kind"]
