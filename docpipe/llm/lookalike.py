@@ -207,7 +207,8 @@ def canonical_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 def look_prints(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, look_1, look_2, raw_1, raw_2: 128-bit prints of the one form and of the stored text.
 
-    Null keys and texts, and texts without any visible character, give no row; repeated rows of a key count once.
+    Null keys and texts, and texts without any visible character, give no row; repeated rows of a key count once (if
+    their texts differ, the one with the smallest prints).
     """
     base = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("__text"))
     schema = T.StructType([base.schema["k"], *(T.StructField(c, T.LongType()) for c in ("look_1", "look_2", "raw_1", "raw_2"))])
@@ -227,7 +228,8 @@ def look_prints(df: DataFrame, key: str, text: str) -> DataFrame:
                             cols[i + 1].append((h & (1 << 64) - 1) - (1 << 63))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in cols)], names=[f.name for f in schema.fields])
 
-    return base.mapInArrow(prints, schema).dropDuplicates(["k"]).withColumnRenamed("k", key)
+    one = base.mapInArrow(prints, schema).groupBy("k").agg(F.min(F.struct("look_1", "look_2", "raw_1", "raw_2")).alias("p"))
+    return one.select(F.col("k").alias(key), "p.*")
 
 
 PART = 1000  # documents of a look that one task pairs with the rest

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,22 +68,60 @@ class Shingles:
 
     def similarity(self, u: list[str] | str, v: list[str] | str) -> float:
         """Shared share of the distinct n-grams of two texts, exact."""
-        if self.n > 3:
-            p, q = self.items(u), self.items(v)
-            shared = len(p & q)
-            return shared / (len(p) + len(q) - shared)
-        number: dict[str, int] = {}
-        grams = []
-        for t in (u, v):  # each n-gram as one number: 21 bits hold a code point, or the number of a word
-            w = np.fromiter((number.setdefault(x, len(number)) for x in t), np.int64, len(t)) if self.unit == "words" else np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.int64)
-            if len(number) >= 1 << 21:
-                raise ValueError("a text of over two million different words")
-            x = np.zeros(len(w) - self.n + 1, np.int64)
-            for i in range(self.n):
-                x = x << 21 | w[i : len(w) - self.n + 1 + i]
-            grams.append(np.unique(x))
-        shared = len(np.intersect1d(*grams, assume_unique=True))
-        return shared / (len(grams[0]) + len(grams[1]) - shared)
+        p, q = self.items(u), self.items(v)
+        shared = len(p & q)
+        return shared / (len(p) + len(q) - shared)
+
+
+class Verifier:
+    """Exact similarity of texts of one field, with the n-gram sets of the latest texts kept.
+
+    An n-gram of up to three units is one number: 21 bits hold a code point, or the number a word has here. Texts with
+    too many different words for that, and longer n-grams, are compared as sets.
+    """
+
+    def __init__(self, spec: Shingles, room: int = 2_000_000):
+        self.spec, self.room = spec, room
+        self.number: dict[str, int] = {}
+        self.kept: dict[int, np.ndarray] = {}
+        self.size = 0
+
+    def _clear(self) -> None:
+        self.number.clear()
+        self.kept.clear()
+        self.size = 0
+
+    def _grams(self, key: int, units: list[str] | str) -> np.ndarray:
+        known = self.kept.get(key)
+        if known is not None:
+            return known
+        n = self.spec.n
+        if self.spec.unit == "words":
+            number = self.number
+            w = np.fromiter((number.setdefault(x, len(number)) for x in units), np.int64, len(units))
+        else:
+            w = np.frombuffer(units.encode("utf-32-le"), np.uint32).astype(np.int64)
+        x = np.zeros(len(w) - n + 1, np.int64)
+        for i in range(n):
+            x = x << 21 | w[i : len(w) - n + 1 + i]
+        grams = np.unique(x)
+        self.kept[key] = grams
+        self.size += len(grams)
+        return grams
+
+    def similarity(self, a: int, u: list[str] | str, b: int, v: list[str] | str) -> float:
+        """a, b: what names the texts u and v, here their class."""
+        if self.spec.n > 3:
+            return self.spec.similarity(u, v)
+        if self.spec.unit == "words" and len(self.number) + len(u) + len(v) >= 1 << 21:
+            self._clear()
+            if len(u) + len(v) >= 1 << 21:
+                return self.spec.similarity(u, v)
+        if self.size > self.room:
+            self._clear()
+        p, q = self._grams(a, u), self._grams(b, v)
+        shared = len(np.intersect1d(p, q, assume_unique=True))
+        return shared / (len(p) + len(q) - shared)
 
 
 def class_of(field: str, spec: Shingles, units: list[str] | str) -> tuple[int, int]:
@@ -336,33 +375,44 @@ def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFram
     for s in ("a", "b"):
         side = reps.select(F.col("h1").alias(s), F.col("field").alias(f"field_{s}"), F.col("rep").alias(f"rep_{s}"))
         sides = sides.join(side, s)
-    sides = cut_lineage(sides.where("field_a = field_b").select(F.col("field_a").alias("field"), F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct())
+    sides = cut_lineage(sides.where("field_a = field_b").select(F.col("field_a").alias("field"), "a", "b", "rep_a", "rep_b"))
     wanted = sides.select(F.col("rep_a").alias("id")).union(sides.select(F.col("rep_b").alias("id"))).distinct()
     fields = list(specs)
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    texts = _texts(df, key, fields).join(wanted, "id", "left_semi")
-    texts = texts.groupBy("id").agg(*(F.max(f"t{i}").alias(f"t{i}") for i in range(len(fields))))
-    texts = texts.select("id", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"t{i}").alias("text")) for i, f in enumerate(fields)))).alias("x")).select("id", "x.field", "x.text").where("text is not null")
-    both = sides.join(texts.withColumnsRenamed({"id": "rep_a", "text": "text_a"}), ["field", "rep_a"]).join(texts.withColumnsRenamed({"id": "rep_b", "text": "text_b"}), ["field", "rep_b"])
+    id_type = members.schema["id"].dataType.simpleString()
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The texts of an id with the class of each, so that the text compared is the one the class was taken from."""
         for b in batches:
+            for i, f in enumerate(fields):
+                rows, h, texts = [], [], []
+                for r, t in enumerate(b.column(i + 1).to_pylist()):
+                    if t and (u := specs[f].units(t)) is not None:
+                        rows.append(r)
+                        h.append(class_of(f, specs[f], u)[0])
+                        texts.append(t)
+                yield pa.RecordBatch.from_arrays([pa.array([f] * len(rows), pa.string()), b.column(0).take(pa.array(rows, pa.int64())), pa.array(h, pa.int64()), pa.array(texts, pa.string())], names=["field", "id", "cls", "text"])
+
+    texts = _texts(df, key, fields).join(wanted, "id", "left_semi").mapInArrow(classed, f"field string, id {id_type}, cls long, text string")
+    texts = texts.groupBy("field", "id", "cls").agg(F.min("text").alias("text"))
+    both = sides.join(texts.withColumnsRenamed({"id": "rep_a", "cls": "a", "text": "text_a"}), ["field", "rep_a", "a"]).join(texts.withColumnsRenamed({"id": "rep_b", "cls": "b", "text": "text_b"}), ["field", "rep_b", "b"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        verifiers = {f: Verifier(s) for f, s in specs.items()}
+        for batch in batches:
             sims, rows = [], []
-            for r, (f, x, y) in enumerate(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("field", "text_a", "text_b")), strict=True)):
+            for r, (f, a, b, x, y) in enumerate(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("field", "a", "b", "text_a", "text_b")), strict=True)):
                 spec = specs[f]
-                u, v = spec.units(x), spec.units(y)
-                if u is None or v is None:
-                    continue
-                s = spec.similarity(u, v)
+                s = verifiers[f].similarity(a, spec.units(x), b, spec.units(y))
                 if s >= spec.threshold:
                     rows.append(r)
                     sims.append(s)
-            kept = [b.column(b.schema.get_field_index(c)).take(pa.array(rows, pa.int64())) for c in ("field", "rep_a", "rep_b")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sims, pa.float64())], names=["field", "rep_a", "rep_b", "similarity"])
+            f, x, y = (batch.column(batch.schema.get_field_index(c)).take(pa.array(rows, pa.int64())) for c in ("field", "rep_a", "rep_b"))
+            swap = pc.greater(x, y)
+            yield pa.RecordBatch.from_arrays([f, pc.if_else(swap, y, x), pc.if_else(swap, x, y), pa.array(sims, pa.float64())], names=["field", "rep_a", "rep_b", "similarity"])
 
-    id_type = members.schema["id"].dataType.simpleString()
-    return both.select("field", "rep_a", "rep_b", "text_a", "text_b").mapInArrow(verify, f"field string, rep_a {id_type}, rep_b {id_type}, similarity double")
+    return both.select("field", "rep_a", "rep_b", "a", "b", "text_a", "text_b").mapInArrow(verify, f"field string, rep_a {id_type}, rep_b {id_type}, similarity double")
 
 
 def class_members(cls: DataFrame) -> DataFrame:

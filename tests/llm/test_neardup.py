@@ -94,3 +94,32 @@ def test_edges(spark):
 def test_the_stated_recall_of_the_bands():
     for s in SPECS.values():
         assert 1 - (1 - s.threshold**s.rows) ** s.bands >= s.recall
+
+
+def test_an_id_with_two_texts(spark):
+    """The class with the smallest hash stands for the id, and its own text is the one that is compared."""
+    base, spec, seen = [f"w{i}" for i in range(60)], SPECS["body"], set()
+    near = " ".join([*base[:-1], "otra"])
+    for k in range(20):
+        far = " ".join(f"z{k}x{i}" for i in range(60))
+        wins = spec_class(spec, near) < spec_class(spec, far)
+        if wins not in seen:
+            seen.add(wins)
+            _, _, got = found(spark, [(1, " ".join(base), None), (2, near, None), (2, far, None)])
+            assert got == ({("body", 1, 2)} if wins else set())
+    assert seen == {True, False}
+
+
+def spec_class(spec, text):
+    return neardup.class_of("body", spec, spec.units(text))
+
+
+def test_verifier_equals_sets():
+    rnd = random.Random(3)
+    for name, spec in SPECS.items():
+        texts = [t for t in corpus(12, seed=4)]
+        v = neardup.Verifier(spec, room=500)
+        for _ in range(200):
+            a, b = rnd.randrange(len(texts)), rnd.randrange(len(texts))
+            u, w = spec.units(texts[a]), spec.units(texts[b])
+            assert v.similarity(a, u, b, w) == spec.similarity(u, w), name
