@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import canon, encoding, knn, lookalike, mixing, neardup, residue, splitting
+from docpipe.llm import canon, encoding, knn, lookalike, mixing, neardup, residue, splitting, sql
 from docpipe.session import cut_lineage
 from docpipe.sources.tables import table
 
@@ -174,4 +174,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE)

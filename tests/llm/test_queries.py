@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from parity import assert_same, connect
 
-from docpipe.llm import queries
+from docpipe.llm import queries, sql
 
 COLUMNS = {
     "p1_found": "field_name string, norm_id_a bigint, chunk_index_a int, norm_id_b bigint, chunk_index_b int",
@@ -24,3 +25,15 @@ def test_query(spark, small, name):
     assert rows or name == "p8_found"
     if name.endswith("_found"):
         assert len({tuple(r) for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_says_what_its_sql_says(spark, small, name):
+    assert_same(queries.queries()[name](spark, small), connect(small), queries.oracle_sql()[name])
+
+
+def test_neighbours_against_brute_force(spark, small):
+    """Recall and precision of the pairs against every pair compared in SQL."""
+    found = {tuple(r) for r in queries.p1_found(spark, small).collect()}
+    want = set(connect(small).execute(sql.P1_FOUND_EXACT).fetchall())
+    assert len(found & want) >= 0.97 * max(len(want), len(found))
