@@ -1,17 +1,25 @@
-"""Texts into chunks at articles, paragraphs or sentences: column expressions, no Python worker involved."""
+"""Texts into chunks at articles, paragraphs or sentences.
+
+Normalisation and article marks are column expressions. Packing is sequential within a text, which no built-in function
+does in linear time, so it runs on whole texts in Arrow batches (docpipe.operators.chunk) by the plain functions below.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docpipe.functions.text import WS, col, est_tokens, strip
+from docpipe.functions.text import TOKENS_PER_CHAR, WS, col, strip
 
 TARGET, LARGEST, OVERLAP = 512, 1000, 50
-SENTENCE = rf"\.{WS}+"
-# What counts as a mark of an article, and where articles are cut.
+# What counts as a mark of an article, where articles are cut, and what joins an overlap to its chunk.
 ARTICLE_SIGNS = (rf"Artículo{WS}+\d+", rf"ARTÍCULO{WS}+\d+", rf"Art\.{WS}+\d+", rf"Artículo{WS}+[IVXLCDM]+")
-ARTICLE_START = rf"((?:Artículo|ARTÍCULO|Art\.){WS}+\d+)"
+_SIGNS = tuple(re.compile(p) for p in (r"Artículo\s+[0-9]+", r"ARTÍCULO\s+[0-9]+", r"Art\.\s+[0-9]+", r"Artículo\s+[IVXLCDM]+"))
+_ARTICLE = re.compile(r"(?:Artículo|ARTÍCULO|Art\.)\s+[0-9]+")
+_SENTENCE, _LINES = re.compile(r"\.\s+"), re.compile("\n{3,}")
+JOINT = " [...] "
 
 
 def normalize(c: Column | str) -> Column:
@@ -25,76 +33,100 @@ def article_marks(c: Column | str) -> Column:
     return sum(signs[1:], signs[0]).cast("int")
 
 
-def _parts(c: Column, separator: str) -> Column:
-    return F.filter(F.transform(F.split(c, separator), strip), lambda x: x != "")
-
-
-def _empty() -> Column:
-    return F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("tokens"))
-
+def normalized(text: str) -> str:
+    """normalize, for one text."""
+    text = text.strip()
+    if "  " in text:
+        text = re.sub(" +", " ", text)
+    return _LINES.sub("\n\n", text)
 
-def _closed(acc: Column) -> Column:
-    return F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
 
+def tokens(text: str) -> int:
+    return int(len(text) * TOKENS_PER_CHAR)
 
-def _state(done: Column, open_: Column, tokens: Column) -> Column:
-    return F.struct(done.alias("done"), open_.alias("open"), tokens.alias("tokens"))
 
+def parts(text: str, separator: str | re.Pattern) -> list[str]:
+    """The parts between separators, stripped, without empty ones."""
+    cut = text.split(separator) if isinstance(separator, str) else separator.split(text)
+    return [p for x in cut if (p := x.strip())]
 
-def _add(acc: Column, part: Column, limit: int, joiner: str) -> Column:
-    """part joins the open chunk while their own estimates (joiners not counted) stay within limit."""
-    t = est_tokens(part)
-    grown = F.when(acc["open"] == "", part).otherwise(F.concat(acc["open"], F.lit(joiner), part))
-    fits = acc["tokens"] + t <= limit
-    return F.when(fits, _state(acc["done"], grown, acc["tokens"] + t)).otherwise(_state(_closed(acc), part, t))
 
+def pack(items: list[str], limit: int, joiner: str) -> list[str]:
+    """Greedy packing in order: an item joins the open chunk while their own estimates (joiners not counted) stay within limit.
 
-def pack(parts: Column, limit: int, joiner: str) -> Column:
-    """Greedy packing of an array of texts in order. A part above the limit makes a chunk of its own."""
-    return F.aggregate(parts, _empty(), lambda acc, p: _add(acc, p, limit, joiner), _closed)
+    An item above the limit makes a chunk of its own.
+    """
+    out: list[list[str]] = []
+    total = 0
+    for p in items:
+        t = tokens(p)
+        if out and total + t <= limit:
+            out[-1].append(p)
+            total += t
+        else:
+            out.append([p])
+            total = t
+    return [joiner.join(x) for x in out]
 
 
-def by_sentences(c: Column | str, separator: str = SENTENCE, limit: int = LARGEST) -> Column:
-    return pack(_parts(col(c), separator), limit, " ")
+def by_sentences(text: str, limit: int = LARGEST) -> list[str]:
+    return pack(parts(text, _SENTENCE), limit, " ")
 
 
-def by_paragraphs(c: Column | str, target: int = TARGET, largest: int = LARGEST) -> Column:
+def by_paragraphs(text: str, target: int = TARGET, largest: int = LARGEST) -> list[str]:
     """Paragraphs packed up to the target; one above the largest size is cut at sentences and stands alone."""
+    out: list[str] = []
+    run: list[str] = []
+    for p in parts(text, "\n\n"):
+        if tokens(p) > largest:
+            out += pack(run, target, "\n\n") + by_sentences(p, largest)
+            run = []
+        else:
+            run.append(p)
+    return out + pack(run, target, "\n\n")
+
+
+def by_articles(text: str, largest: int = LARGEST) -> list[str]:
+    """Cut before every article; an article above the largest size is cut at its paragraphs."""
+    at = [0, *(m.start() for m in _ARTICLE.finditer(text)), len(text)]
+    out: list[str] = []
+    for a, e in zip(at, at[1:], strict=False):
+        if p := text[a:e].strip():
+            out += [p] if tokens(p) <= largest else pack(parts(p, "\n\n"), largest, " ")
+    return out
 
-    def step(acc: Column, p: Column) -> Column:
-        alone = _state(F.concat(_closed(acc), by_sentences(p, SENTENCE, largest)), F.lit(""), F.lit(0))
-        return F.when(est_tokens(p) > largest, alone).otherwise(_add(acc, p, target, "\n\n"))
-
-    return F.aggregate(_parts(col(c), "\n\n"), _empty(), step, _closed)
 
+def has_articles(text: str) -> bool:
+    """Three marks of articles or more."""
+    return sum(len(p.findall(text)) for p in _SIGNS) >= 3
 
-def by_articles(c: Column | str, largest: int = LARGEST) -> Column:
-    """Cut before every article; an article above the largest size is cut at its paragraphs."""
-    marked = F.regexp_replace(col(c), ARTICLE_START, "\u0001$1")
-    return F.flatten(F.transform(_parts(marked, "\u0001"), lambda a: F.when(est_tokens(a) <= largest, F.array(a)).otherwise(by_sentences(a, "\n\n", largest))))
 
-
-def plain_chunks(c: Column | str, target: int = TARGET, largest: int = LARGEST) -> Column:
+def plain_chunks(text: str, target: int = TARGET, largest: int = LARGEST) -> list[str]:
     """Chunks of a normalised text before overlap: by articles from three marks on, else by paragraphs."""
-    return F.when(article_marks(c) >= 3, by_articles(c, largest)).otherwise(by_paragraphs(c, target, largest))
+    return by_articles(text, largest) if has_articles(text) else by_paragraphs(text, target, largest)
 
 
-def tail(c: Column, overlap: int = OVERLAP) -> Column:
+def tail(chunk: str, overlap: int = OVERLAP) -> str:
     """The end of a chunk that is repeated in the next: the last 1.6 characters per token, from the first sentence start in them."""
     n = int(overlap * 1.6)
-    last = F.right(c, F.lit(n))
-    at = F.instr(last, ". ")
-    return F.when(F.length(c) <= n, c).when(at > 0, F.substr(last, at + 2)).otherwise(last)
+    if len(chunk) <= n:
+        return chunk
+    last = chunk[-n:]
+    at = last.find(". ")
+    return last[at + 2 :] if at >= 0 else last
 
 
-def with_overlap(chunks: Column, overlap: int = OVERLAP) -> Column:
+def with_overlap(chunks: list[str], overlap: int = OVERLAP) -> list[str]:
+    """Every chunk but the first begins with the end of the one before."""
     if not overlap:
         return chunks
-    # as a fold, so that the chunks are named once: an expression behind them would else be evaluated per element
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.array().cast("array<string>").alias("out"))
+    return [c if not i else tail(chunks[i - 1], overlap) + JOINT + c for i, c in enumerate(chunks)]
+
 
-    def step(acc: Column, x: Column) -> Column:
-        new = F.when(acc["last"].isNull(), x).otherwise(F.concat(tail(acc["last"], overlap), F.lit(" [...] "), x))
-        return F.struct(x.alias("last"), F.array_append(acc["out"], new).alias("out"))
+def places(text: str, chunks: list[str], overlap: int = OVERLAP) -> list[int]:
+    """Where each chunk first stands in the text, -1 if nowhere.
 
-    return F.aggregate(chunks, start, step, lambda acc: acc["out"])
+    What carries a joint that the text hasn't can't stand in it, so a long text is not searched once per chunk.
+    """
+    jointed = overlap > 0 and JOINT not in text
+    return [-1 if i and jointed else text.find(c) for i, c in enumerate(chunks)]

@@ -2,45 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docpipe.session import cut_lineage
+
+RANGES = 64  # in which the distinct values are summed up side by side
+
+
+def by_value(df: DataFrame, value: str) -> DataFrame:
+    """v, n: the rows per distinct value, nulls aside, written to the checkpoint folder: what is behind it is read once."""
+    return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n")))
+
+
+def with_prefix(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """v, n, upto: the rows up to each value in order. Sums run within ranges of values, so that no task holds them all."""
+    # at most `ranges` numbers each
+    cuts = counts.agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 10_000).alias("c")).first()["c"] or []
+    place = sum((F.when(F.col("v") > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    placed = counts.withColumn("r", place)
+    sums = {r["r"]: r["n"] for r in placed.groupBy("r").agg(F.sum("n").alias("n")).collect()}
+    before, total = F.lit(0), 0
+    for k in sorted(sums):
+        before = F.when(F.col("r") == k, total).otherwise(before)
+        total += sums[k]
+    inner = F.sum("n").over(Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return placed.select("v", "n", (inner + before).alias("upto"))
+
+
+def rank_columns(quantiles: dict[str, float], total: int) -> list[Column]:
+    """Aggregates over with_prefix: for each name the element at the zero-based place floor(total q) of the sorted values."""
+    return [F.min(F.when(F.col("upto") > F.floor(F.lit(total) * F.lit(q)), F.col("v"))).alias(name) for name, q in quantiles.items()]
+
+
+def _total(counts: DataFrame) -> int:
+    return counts.agg(F.sum("n")).first()[0] or 0
+
 
 def nearest_rank(df: DataFrame, value: str, quantiles: dict[str, float]) -> DataFrame:
     """One row: for each name the element at the zero-based place floor(n q) of the sorted values.
 
-    Works on the counts per distinct value, so the sorted list itself is never formed: the values of a report are
-    few even if its rows are many. Nulls are ignored; no rows give nulls.
+    Works on the counts per distinct value, summed up by ranges, whatever the number of distinct values. Nulls are
+    ignored; no rows give nulls.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    one = counts.agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("s"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    up_to = F.transform("s", lambda x, i: F.struct(x["v"].alias("v"), F.aggregate(F.slice(F.col("s"), F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("upto")))
-    one = one.select(up_to.alias("s"), "total")
-
-    def at(q: float) -> Column:
-        return F.get(F.filter("s", lambda x: x["upto"] > F.floor(F.col("total") * F.lit(q))), F.lit(0))["v"]
-
-    return one.select(*(at(q).alias(name) for name, q in quantiles.items()))
+    counts = by_value(df, value)
+    return with_prefix(counts).agg(*rank_columns(quantiles, _total(counts)))
 
 
 QUANTILES = {"median": 0.5, "p90": 0.9, "p95": 0.95}
 
 
 def chunk_report(counts: DataFrame) -> DataFrame:
-    """docs, total_chunks, mean, median, p90, p95, smallest, largest over a column `chunks`."""
-    basic = counts.agg(F.count("*").alias("docs"), F.sum("chunks").alias("total_chunks"), F.avg("chunks").alias("mean_chunks"), F.min("chunks").alias("min_chunks"), F.max("chunks").alias("max_chunks"))
-    # both sides are single rows by construction
-    return basic.withColumn("one", F.lit(1)).join(nearest_rank(counts, "chunks", QUANTILES).withColumn("one", F.lit(1)), "one").drop("one")
+    """docs, total_chunks, mean, median, p90, p95, smallest, largest over a column `chunks`, which is read once."""
+    per = by_value(counts, "chunks")
+    total = F.sum(F.col("v") * F.col("n"))
+    return with_prefix(per).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("docs"), total.alias("total_chunks"), F.try_divide(total, F.sum("n")).alias("mean_chunks"),
+        F.min("v").alias("min_chunks"), F.max("v").alias("max_chunks"), *rank_columns(QUANTILES, _total(per)),
+    )
 
 
 def histogram(counts: DataFrame, top: int = 10) -> DataFrame:
     """bucket, label, n, pct, bar: chunks per document, all above `top` in one bucket."""
-    n = counts.groupBy(F.least("chunks", F.lit(top)).alias("bucket")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.count("*").alias("total")).withColumn("one", F.lit(1))
-    h = n.withColumn("one", F.lit(1)).join(F.broadcast(total), "one")  # a single row
-    pct = F.col("n") * 100.0 / F.col("total")
+    n = counts.where("chunks is not null").groupBy(F.least("chunks", F.lit(top)).alias("bucket")).agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())  # a row per bucket
+    pct = F.col("n") * 100.0 / total
     label = F.when(F.col("bucket") == top, F.concat(F.lit(str(top)), F.lit("+"))).otherwise(F.col("bucket").cast("string"))
-    return h.select("bucket", label.alias("label"), "n", pct.alias("pct"), F.repeat(F.lit("#"), F.floor(pct / 2).cast("int")).alias("bar"))
+    return n.withColumn("pct", pct).select("bucket", label.alias("label"), "n", "pct", F.repeat(F.lit("#"), F.floor(F.col("pct") / 2).cast("int")).alias("bar"))
 
 
 # Chunks per document and the days to index all documents that the plan foresees for them.

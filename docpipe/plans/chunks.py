@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.functions import chunking
-from docpipe.functions.text import est_tokens, strip
+from docpipe.functions.text import est_tokens
 from docpipe.operators import batching, report
-from docpipe.operators.chunk import chunk_counts, chunk_texts
+from docpipe.operators.chunk import chunk_counts, chunk_texts, cut_texts
 from docpipe.plans.registry import SQL_WS, Registry, sql_strip, sql_tokens
-from docpipe.session import shuffle_partitions
+from docpipe.session import once_per_key
 from docpipe.sources.tables import table
 
 R = Registry()
@@ -83,9 +83,9 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def norm_texts(spark: SparkSession, d: str) -> DataFrame:
-    """One text per norm. Partitioned by number before the aggregate, which then needs no shuffle of its own, since few bytes of text are much work to chunk."""
-    n = table(spark, d, "norms").where("norm_id is not null").select("norm_id", "full_content")
-    return n.repartition(shuffle_partitions(spark), "norm_id").groupBy("norm_id").agg(F.min("full_content").alias("text"))
+    """One text per norm; only the texts of norms met more than once are moved."""
+    n = table(spark, d, "norms").where("norm_id is not null").select("norm_id", F.col("full_content").alias("text"))
+    return once_per_key(n, ["norm_id"], "text")
 
 
 def doubled(spark: SparkSession, d: str) -> DataFrame:
@@ -113,17 +113,12 @@ def detect_articles(spark: SparkSession, d: str) -> DataFrame:
     return norm_texts(spark, d).where("text is not null").select("norm_id", n.alias("marks"), (n >= 3).alias("has_articles"))
 
 
-def _exploded(df: DataFrame, key: str, chunks: object) -> DataFrame:
-    whole = df.select(key, chunking.normalize("text").alias("whole")).where(strip("whole") != "")
-    return whole.select(key, F.posexplode(chunks).alias("chunk_index", "chunk")).select(key, "chunk_index", "chunk")
-
-
 SQL_EXPLODED = "SELECT k AS {key}, CAST(i - 1 AS INTEGER) AS chunk_index, chunks[i] AS chunk FROM (SELECT k, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM chunked)"
 
 
 @R.query(sql_chunks(NORMS, "norm_id", "articles") + SQL_EXPLODED.format(key="norm_id"))
 def chunk_articles(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(norm_texts(spark, d), "norm_id", chunking.by_articles("whole"))
+    return cut_texts(norm_texts(spark, d), ["norm_id"], "text", chunking.by_articles)
 
 
 @R.query(
@@ -136,17 +131,17 @@ def chunk_articles(spark: SparkSession, d: str) -> DataFrame:
     {SQL_EXPLODED.format(key="doc_id")}"""
 )
 def chunk_sentences(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(documents(spark, d), "doc_id", chunking.by_sentences("whole"))
+    return cut_texts(documents(spark, d), ["doc_id"], "text", chunking.by_sentences)
 
 
 @R.query(sql_chunks(DOUBLED, "doc_id", "paragraphs") + SQL_EXPLODED.format(key="doc_id"))
 def chunk_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(doubled(spark, d), "doc_id", chunking.by_paragraphs("whole"))
+    return cut_texts(doubled(spark, d), ["doc_id"], "text", chunking.by_paragraphs)
 
 
 @R.query(sql_chunks(DOUBLED, "doc_id") + f", lapped AS (SELECT k, {SQL_OVERLAPPED} AS chunks FROM chunked) " + SQL_EXPLODED.format(key="doc_id").replace("FROM chunked", "FROM lapped"))
 def chunk_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(doubled(spark, d), "doc_id", chunking.with_overlap(chunking.plain_chunks("whole")))
+    return cut_texts(doubled(spark, d), ["doc_id"], "text", lambda whole: chunking.with_overlap(chunking.plain_chunks(whole)))
 
 
 SQL_ROWS = f"""SELECT k AS {{key}}, CAST(i - 1 AS INTEGER) AS chunk_index, CAST(len(lap) AS INTEGER) AS chunk_total, lap[i] AS text, {sql_tokens("lap[i]")} AS token_count,

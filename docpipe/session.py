@@ -85,5 +85,3 @@ def once_per_key(df: DataFrame, keys: list[str], value: str, buckets: int = REPE
     return single.unionByName(repeated.select(*keys, value))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

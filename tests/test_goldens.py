@@ -69,28 +69,28 @@ def test_tokens(spark):
 
 def test_article_marks_and_cuts(spark):
     assert each(spark, ["Artículo 1 Artículo II Art. 3"], chunking.article_marks) == [3]
-    assert each(spark, ["Artículo 1. a Artículo II b Art. 3 c"], chunking.by_articles) == [["Artículo 1. a Artículo II b", "Art. 3 c"]]
+    assert chunking.has_articles("Artículo 1 Artículo II Art. 3") and not chunking.has_articles("Artículo 1 Artículo II")
+    assert chunking.by_articles("Artículo 1. a Artículo II b Art. 3 c") == ["Artículo 1. a Artículo II b", "Art. 3 c"]
 
 
-def test_overlap(spark):
-    two = chunking.with_overlap(F.array(F.lit("ab"), F.lit("cd")))
-    assert spark.range(1).select(two.alias("y")).first().y == ["ab", "ab [...] cd"]
-    assert each(spark, ["x" * 50 + ". " + "y" * 60, "k" * 60 + ". " + "m" * 30 + ". " + "n" * 40], chunking.tail) == ["y" * 60, "m" * 30 + ". " + "n" * 40]
+def test_overlap():
+    assert chunking.with_overlap(["ab", "cd"]) == ["ab", "ab [...] cd"]
+    assert [chunking.tail(c) for c in ("x" * 50 + ". " + "y" * 60, "k" * 60 + ". " + "m" * 30 + ". " + "n" * 40)] == ["y" * 60, "m" * 30 + ". " + "n" * 40]
 
 
 @pytest.mark.parametrize(
     ("text", "lengths"),
     [(". ".join(["x" * 1000] * 3), [1000, 1000, 1000]), (". ".join(["x" * 700] * 3), [1401, 700]), ("x" * 2000, [2000]), ("", [])],
 )
-def test_sentence_packing(spark, text, lengths):
-    assert [len(c) for c in each(spark, [text], chunking.by_sentences)[0]] == lengths
+def test_sentence_packing(text, lengths):
+    assert [len(c) for c in chunking.by_sentences(text)] == lengths
 
 
 @pytest.mark.parametrize(
     ("parts", "lengths"), [(["x" * 400] * 3, [802, 400]), (["p" * 100, "a" * 900 + ". " + "b" * 900, "q" * 100], [100, 900, 900, 100])]
 )
-def test_paragraph_packing(spark, parts, lengths):
-    assert [len(c) for c in each(spark, ["\n\n".join(parts)], chunking.by_paragraphs)[0]] == lengths
+def test_paragraph_packing(parts, lengths):
+    assert [len(c) for c in chunking.by_paragraphs("\n\n".join(parts))] == lengths
 
 
 def test_chunk_rows(spark):
@@ -100,12 +100,38 @@ def test_chunk_rows(spark):
     assert chunk_texts(df.limit(0), ["id"], "text").count() == 0
 
 
+def test_chunks_carry_other_columns(spark):
+    df = spark.createDataFrame([(1, "a" * 1000 + ". " + "b" * 1000, "LEY 1", {"tipo": "ley"})], "id int, body string, titulo string, meta map<string,string>")
+    rows = chunk_texts(df, ["id"], "body", carry=["titulo", "meta"]).collect()
+    assert [(r.id, r.titulo, r.meta, r.chunk_total) for r in rows] == [(1, "LEY 1", {"tipo": "ley"}, 2)] * 2
+    with pytest.raises(ValueError, match="twice"):
+        chunk_texts(df.withColumnRenamed("titulo", "text"), ["id"], "body", carry=["text"])
+
+
+def test_very_long_text_is_cut_in_linear_time(spark):
+    import time
+
+    text = "\n\n".join(f"Párrafo {i} con algo de texto para llenar." for i in range(200_000))
+    started = time.time()
+    chunks = chunking.with_overlap(chunking.plain_chunks(text))
+    assert chunking.places(text, chunks)[1] == -1
+    assert time.time() - started < 20
+    assert sum(len(c) for c in chunking.plain_chunks(text)) > len(text) * 0.99
+
+
 @pytest.mark.parametrize(("values", "want"), [(range(1, 11), (6, 10, 10)), (range(1, 5), (3, 4, 4)), ([], (None, None, None))])
 def test_nearest_rank(spark, values, want):
     df = spark.createDataFrame([(v,) for v in values], "v int")
     assert tuple(report.nearest_rank(df, "v", report.QUANTILES).first()) == want
 
 
+def test_nearest_rank_of_many_values(spark):
+    df = spark.range(30_001).selectExpr("(id * 7919) % 30001 / 4.0 as v")
+    assert tuple(report.nearest_rank(df, "v", report.QUANTILES).first()) == tuple(int(30_001 * q) / 4 for q in (0.5, 0.9, 0.95))
+    hot = spark.range(1000).selectExpr("if(id < 900, 1.5, id) as v")
+    assert tuple(report.nearest_rank(hot, "v", report.QUANTILES).first()) == (1.5, 900.0, 950.0)
+
+
 @pytest.mark.parametrize(("mean", "days"), [(3.0, 38), (4.0, 51), (5.0, 64), (6.0, 77)])
 def test_projection(spark, mean, days):
     rows = report.scenario_lookup(spark.createDataFrame([(mean,)], "mean_chunks double")).collect()
