@@ -42,8 +42,3 @@ def group1(c: Column | str, pattern: str, group: int = 1) -> Column:
 def not_empty(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
-
-def clean_title(c: Column | str) -> Column:
-    """A page title without the site's prefix and suffix."""
-    t = F.regexp_replace(strip(c), rf"^(?iu:Ley Chile){WS}*-{WS}*", "")
-    return strip(F.regexp_replace(t, rf"{WS}*-{WS}*Biblioteca del Congreso Nacional$", ""))

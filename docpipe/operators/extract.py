@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docpipe.functions.dates import ABBREVIATED, MONTHS, from_parts, labelled_date, month_number, parse_date
-from docpipe.functions.text import WS, clean_text, clean_title, col, group1, not_empty, strip
+from docpipe.functions.dates import ABBREVIATED, DAY_MONTH_YEAR, MONTHS, from_parts, labelled_date, month_number, parse_date
+from docpipe.functions.text import WS, clean_text, col, group1, not_empty, strip
 from docpipe.sources.html import fetched, meta, with_page
 
+# Names and defaults of the site's records; the patterns below are those its pages are read by.
 SITE = "Ley Chile"
 URL = "https://bcn.cl/leychile/navegar?idNorma="
 DEFAULT_BODY = "CONGRESO NACIONAL"
@@ -31,8 +32,7 @@ def norm_number(title: Column | str, norm_id: Column | str) -> Column:
 
 def title_text(page: str = "page") -> Column:
     """The page's own title: og:title by name, else <title> if longer than 10, else <h1>."""
-    t = clean_title(F.col(f"{page}.title"))
-    return F.coalesce(not_empty(clean_title(meta("og:title", page))), F.when(F.length(t) > 10, t), not_empty(F.col(f"{page}.h1")))
+    return F.col(f"{page}.raw_title")
 
 
 def composed_title(raw: Column | str, description: Column | str) -> Column:
@@ -59,8 +59,7 @@ def promulgation_date(datos: Column | str, norm_start: Column) -> Column:
     A day that doesn't exist ends the search with null; an unknown month lets it go on.
     """
     sig = rf"(?iu)Santiago,?{WS}+(\d{{1,2}}){WS}+de{WS}+(\w+){WS}+de{WS}+(\d{{4}})"
-    short = r"(\d{1,2})-([A-Za-z]{3})-(\d{4})"
-    s, m = [group1(norm_start, sig, i) for i in (1, 2, 3)], [group1(norm_start, short, i) for i in (1, 2, 3)]
+    s, m = [group1(norm_start, sig, i) for i in (1, 2, 3)], [group1(norm_start, DAY_MONTH_YEAR, i) for i in (1, 2, 3)]
     long_month, short_month = month_number(s[1], MONTHS), month_number(m[1], ABBREVIATED)
     behind = F.when(long_month.isNotNull(), from_parts(s[2], long_month, s[0])).when(short_month.isNotNull(), from_parts(m[2], short_month, m[0]))
     return F.coalesce(labelled_date(datos, "Promulgaci[oó]n"), behind)
@@ -112,16 +111,20 @@ def official_url(norm_id: Column | str) -> Column:
 
 
 def parse_pages(df: DataFrame, norm_id: str = "norm_id", html: str = "html", status: str | None = None) -> DataFrame:
-    """The 13 fields of every page that is worth parsing. Pages without title or content are dropped."""
+    """The 13 fields of every page that is worth parsing. Pages without title or content are dropped.
+
+    The record is made as one value and then taken apart behind a generator, so that no later filter is pushed through
+    it and evaluates the rules again for every field it reads.
+    """
     p = with_page(fetched(df, html, status).select(norm_id, html), html)
-    p = p.select(F.col(norm_id).alias("norm_id"), "page").withColumn("raw_title", title_text()).withColumn("content", full_content())
-    p = p.where(F.col("raw_title").isNotNull() & F.col("content").isNotNull())
-    datos, desc = F.col("page.datos"), meta("description")
-    return p.select(
-        "norm_id", norm_type("raw_title").alias("norm_type"), norm_number("raw_title", "norm_id").alias("norm_number"), composed_title("raw_title", desc).alias("title"),
+    p = p.select(F.col(norm_id).alias("norm_id"), "page").where("page.raw_title is not null and page.content is not null")
+    title, content, datos, desc = title_text(), full_content(), F.col("page.datos"), meta("description")
+    record = F.struct(
+        "norm_id", norm_type(title).alias("norm_type"), norm_number(title, "norm_id").alias("norm_number"), composed_title(title, desc).alias("title"),
         publication_date(datos, meta("article:published_time"), meta("article:modified_time")).alias("publication_date"),
         promulgation_date(datos, F.col("page.norm_start")).alias("promulgation_date"), last_modified(datos, meta("article:modified_time")).alias("last_modified"),
         issuing_body(meta("article:author")).alias("issuing_body"), version(datos).alias("norm_version"), subject_tags(meta("keywords")).alias("subject_tags"),
-        official_url("norm_id").alias("official_url"), summary(desc, meta("og:description"), F.col("page.summary_text"), F.col("content"), F.col("raw_title")).alias("summary"),
-        F.col("content").alias("full_content"),
+        official_url("norm_id").alias("official_url"), summary(desc, meta("og:description"), F.col("page.summary_text"), content, title).alias("summary"),
+        content.alias("full_content"),
     )
+    return p.select(F.explode(F.array(record)).alias("r")).select("r.*")

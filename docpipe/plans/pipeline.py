@@ -20,12 +20,6 @@ def log(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "scrape_log")
 
 
-def one_per_norm(spark: SparkSession, d: str) -> DataFrame:
-    """The latest capture of every norm: by last_modified, then version, then the smallest rest."""
-    n = table(spark, d, "norms").drop("resumen_vector").where("norm_id is not null")
-    return index.upsert(n.limit(0), n.withColumn("last_modified", F.col("last_modified")), "norm_id", "last_modified")
-
-
 @R.query("SELECT CAST(greatest(1, least(floor((norm_id - 1) / 250) + 1, 8)) AS INTEGER) AS instance, count(*) AS n, min(norm_id) AS first_seen, max(norm_id) AS last_seen FROM scrape_log WHERE norm_id IS NOT NULL GROUP BY 1")
 def id_range_partition(spark: SparkSession, d: str) -> DataFrame:
     e = log(spark, d).where("norm_id is not null").withColumn("instance", ranges.instance_of("norm_id", 8, 2000))
@@ -119,7 +113,7 @@ def outcome_counters(spark: SparkSession, d: str) -> DataFrame:
 )
 def running_progress(spark: SparkSession, d: str) -> DataFrame:
     o = outcomes(spark, d).where("norm_id is not null").na.fill("", ["logged_at", "norm_type"])
-    return checkpoint.running_progress(o, "instance_id", ["norm_id", "received_at", "event", "logged_at", "norm_type"], F.col("outcome") == "ok", chunk=64)
+    return checkpoint.running_progress(o, "instance_id", ["norm_id", "received_at", "event", "logged_at", "norm_type"], F.col("outcome") == "ok")
 
 
 @R.query("SELECT norm_type, count(*) AS n FROM scrape_log WHERE event = 'norm_parsed' GROUP BY norm_type")

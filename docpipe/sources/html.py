@@ -24,7 +24,7 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form
 PAGE = T.StructType(
     [
         T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
-        *(T.StructField(n, T.StringType()) for n in ("title", "h1", "datos", "summary_text", "norm_start", "content", "paragraph_text")),
+        *(T.StructField(n, T.StringType()) for n in ("title", "h1", "datos", "summary_text", "norm_start", "content", "paragraph_text", "raw_title")),
     ]
 )
 
@@ -104,11 +104,19 @@ class _Builder(HTMLParser):
         self.at.kids.append(data)
 
 
+# What classes of containers and summaries are called, and what a page title has around it.
 _BLANKS, _ENTITY = re.compile(r"\s+"), re.compile("&[a-z]+;", re.I | re.A)
 _OTHER = re.compile("contenido-norma|content|texto|articulo", re.I)
 _SUMMARY = re.compile("resumen|abstract|summary", re.I)
 
 
+_SITE, _LIBRARY = re.compile(r"^Ley Chile\s*-\s*", re.I), re.compile(r"\s*-\s*Biblioteca del Congreso Nacional$")
+
+
+def _clean_title(t: str) -> str:
+    return _LIBRARY.sub("", _SITE.sub("", t.strip())).strip()
+
+
 def _any_class(node: Node, pattern: re.Pattern) -> bool:
     return any(pattern.search(c) for c in (*node.classes(), node.attrs.get("class", "")))
 
@@ -151,6 +159,9 @@ def parse_page(html: str) -> dict:
     if chosen is not None:
         # cleaned here, once: as an expression the optimiser would repeat it in every rule that reads the content
         out["content"] = _ENTITY.sub("", _BLANKS.sub(" ", chosen)).strip()
+    # the page's own title: og:title by name, else <title> if longer than 10, else <h1>; here, once, as many rules read it
+    title = _clean_title(out["title"] or "")
+    out["raw_title"] = _clean_title(out["meta"].get("og:title", "")) or (title if len(title) > 10 else "") or out["h1"] or None
     return out
 
 

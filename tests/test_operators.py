@@ -77,7 +77,7 @@ def test_resume_points(spark):
 
 def test_running_progress_across_ranges(spark):
     df = spark.createDataFrame([("i", n, n % 2 == 0) for n in range(1, 501)], "i string, n int, ok boolean")
-    got = checkpoint.running_progress(df, "i", ["n"], F.col("ok"), every=50, chunk=16)
+    got = checkpoint.running_progress(df, "i", ["n"], F.col("ok"), every=50, ranges=7)
     assert {r.position: r.succeeded for r in got.collect()} == {p: p // 2 for p in range(50, 501, 50)}
 
 
