@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docpipe.functions.maps import now_iso
+from docpipe.operators import store
+from docpipe.session import cut_lineage
 
 MAX_RETRIES = 3
 
@@ -45,7 +50,7 @@ def resume_points(plan: DataFrame, checkpoints: DataFrame) -> DataFrame:
     return plan.join(c, "instance_id", "left").select("instance_id", start.cast("long").alias("start_id"))
 
 
-def mark(checkpoints: DataFrame, instance_id: str, status: str, at: str, error: str | None = None) -> DataFrame:
+def mark(checkpoints: DataFrame, instance_id: str, status: str, at: str | Column, error: str | None = None) -> DataFrame:
     """The table with one instance's status set to completed or failed; every other column and row is kept."""
     here = F.col("instance_id") == instance_id
     when = "completed_at" if status == "completed" else "failed_at"
@@ -53,14 +58,53 @@ def mark(checkpoints: DataFrame, instance_id: str, status: str, at: str, error:
     return out if error is None else out.withColumn("error_message", F.when(here, error).otherwise(F.col("error_message")))
 
 
-def running_progress(df: DataFrame, by: str, order: list[str], ok: Column, every: int = 100, chunk: int = 4096) -> DataFrame:
+COUNTS = ("total_processed", "success_count", "failed_count", "skipped_count", "retry_count")
+STATE = ", ".join(["instance_id string", "last_id_processed long", *(f"{c} long" for c in COUNTS), "saved_at string", "status string", "completed_at string", "failed_at string", "error_message string", "metadata map<string,string>"])
+
+
+def save_all(spark: SparkSession, path: str, states: DataFrame) -> store.Result:
+    """Save states (instance_id, last_id_processed, and what else of STATE is known) as running; each replaces its instance's row."""
+    names = [f.name for f in T.StructType.fromDDL(STATE).fields]
+    given = {"saved_at": now_iso(), "status": F.lit("running"), **{c: F.col(c) for c in states.columns}}
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(STATE).fields}
+    full = states.select(*(F.coalesce(given[n], F.lit(0)).cast("long").alias(n) if n in COUNTS and n in given else given.get(n, F.lit(0) if n in COUNTS else F.lit(None)).cast(types[n]).alias(n) for n in names))
+    return store.bulk_index(spark, path, full, "instance_id")
+
+
+def save(spark: SparkSession, path: str, instance_id: str, last_id: int, metadata: dict[str, str] | None = None, **counts: int) -> bool:
+    """Save one state as running; true if it was stored."""
+    row = {"instance_id": instance_id, "last_id_processed": last_id, **counts, "metadata": metadata}
+    kinds = T.StructType([f for f in T.StructType.fromDDL(STATE).fields if f.name in row])
+    return save_all(spark, path, spark.createDataFrame([tuple(row[f.name] for f in kinds.fields)], kinds)) == store.Result(1, 0)
+
+
+def finish(spark: SparkSession, path: str, instance_id: str, status: str, error: str | None = None) -> bool:
+    """Mark an instance completed or failed; false if it has no state. Only a running state changes: an end is an end."""
+    now = store.current(spark, path)
+    if now is None:
+        return False
+    row = now.where((F.col("instance_id") == instance_id) & (F.col("status") == "running"))
+    row = cut_lineage(mark(row.withColumn("__at", now_iso()), instance_id, status, F.col("__at"), error).drop("__at"))
+    return not row.isEmpty() and store.bulk_index(spark, path, row, "instance_id") == store.Result(1, 0)
+
+
+def start_of(spark: SparkSession, path: str, instance_id: str, planned: int) -> int:
+    """One past the last processed id of an instance, the planned start where nothing, or 0, was saved."""
+    now = store.current(spark, path)
+    row = None if now is None else now.where(F.col("instance_id") == instance_id).first()
+    return row["last_id_processed"] + 1 if row is not None and row["last_id_processed"] else planned
+
+
+def running_progress(df: DataFrame, by: str, order: list[str], ok: Column, every: int = 100, ranges: int | None = None) -> DataFrame:
     """by, position, succeeded, rate at every `every`-th row of an instance in order.
 
-    Positions are prefix sums in two levels: rows are ranked inside ranges of the first order column and the ranges'
-    totals are summed up, so an instance with a third of all rows is not sorted in one task.
+    Rows are cut into ranges of the whole order, sized by a sample, so neither an instance nor a single key with a third
+    of all rows makes a range too large. Positions are sums in two levels: inside a range, and of the ranges before.
+    The ranges are written to the checkpoint folder, so that both levels see the same.
     """
-    first = order[0]
-    d = df.withColumn("__ok", ok.cast("long")).withColumn("__range", F.floor(F.col(first) / chunk))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = df.select(by, *order, ok.cast("long").alias("__ok")).repartitionByRange(n, by, *order)
+    d = cut_lineage(d.withColumn("__range", F.spark_partition_id()))
     totals = d.groupBy(by, "__range").agg(F.count("*").alias("n"), F.sum("__ok").alias("k"))
     w = Window.partitionBy(by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(by, "__range", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n0"), F.coalesce(F.sum("k").over(w), F.lit(0)).alias("k0"))

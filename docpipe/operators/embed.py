@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -25,29 +26,48 @@ def hashing_provider(texts: list[str], dims: int = DIMENSIONS) -> list[list[floa
     return (out / np.where(n == 0, 1, n)).tolist()
 
 
-def embed(df: DataFrame, keys: list[str], text: str, provider: Provider = hashing_provider, tries: int = 3) -> DataFrame:
-    """keys, vector: texts sent in requests of at most 96, in order; null and empty texts are left out.
+class Throttled(RuntimeError):
+    """Raised by a provider that is asked too often; the request may be sent again."""
 
-    A request is tried up to `tries` times; a provider that returns another number of vectors than texts is an error.
+
+def embed_request(texts: list[str], provider: Provider, tries: int = 3, wait: Callable[[float], None] = time.sleep) -> list[list[float]]:
+    """Vectors of at most MAX_TEXTS texts, in order.
+
+    No text, an empty text, or too many of them is an error, as is another number of vectors than texts. Only Throttled
+    is tried again, after 1, 2, 4... (at most 10) seconds; any other fault of the provider comes through at once.
     """
+    if not texts or not all(texts):
+        raise ValueError("there is nothing to embed")
+    if len(texts) > MAX_TEXTS:
+        raise ValueError(f"{len(texts)} texts in a request, {MAX_TEXTS} are allowed")
+    for attempt in range(tries):
+        try:
+            got = provider(texts)
+            break
+        except Throttled:
+            if attempt + 1 == tries:
+                raise
+            wait(min(10.0, 2.0**attempt))
+    if len(got) != len(texts):
+        raise ValueError(f"{len(texts)} texts sent, {len(got)} vectors received")
+    return got
+
+
+def embed_one(text: str, provider: Provider = hashing_provider) -> list[float]:
+    return embed_request([text], provider)[0]
+
+
+def embed(df: DataFrame, keys: list[str], text: str, provider: Provider = hashing_provider, tries: int = 3, size: int = MAX_TEXTS, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+    """keys, vector: texts sent in requests of `size` (at most 96), in order; null and empty texts are left out."""
     base = df.where(F.length(text) > 0).select(*keys, F.col(text).alias("__text"))
     schema = ", ".join(f"{k} {base.schema[k].dataType.simpleString()}" for k in keys) + ", vector array<float>"
+    step = max(1, min(size, MAX_TEXTS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, vectors = pdf["__text"].tolist(), []
-            for s in range(0, len(texts), MAX_TEXTS):
-                part = texts[s : s + MAX_TEXTS]
-                for attempt in range(tries):
-                    try:
-                        got = provider(part)
-                        break
-                    except Exception:
-                        if attempt + 1 == tries:
-                            raise
-                if len(got) != len(part):
-                    raise ValueError(f"{len(part)} texts sent, {len(got)} vectors received")
-                vectors += got
+            for s in range(0, len(texts), step):
+                vectors += embed_request(texts[s : s + step], provider, tries, wait)
             yield pdf[keys].assign(vector=vectors)
 
     return base.mapInPandas(run, schema)

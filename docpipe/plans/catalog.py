@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from docpipe.plans import chunks, extraction, pipeline
+from docpipe.plans import chunks, extraction, pipeline, state
 from docpipe.plans.registry import Query
 
-PARTS = (chunks.R, extraction.R, pipeline.R)
+PARTS = (chunks.R, extraction.R, pipeline.R, state.R)
 
 
 def queries() -> dict[str, Query]:

@@ -49,8 +49,8 @@ def first_by_key(df: DataFrame, key: Column, n: int = 1000) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(documents, broken): stored JSON documents with an explicit schema; broken ones keep their raw text."""
-    text = spark.read.text(path, wholetext=True)
+    """(documents, broken): stored JSON documents below path with an explicit schema; broken ones keep their raw text."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     doc = text.select(F.from_json("value", f"{schema}, _broken string", options).alias("d")).select("d.*")
     return doc.where("_broken is null").drop("_broken"), doc.where("_broken is not null").select("_broken")
