@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from docpipe.session import cut_lineage
 
-RANGES = 64  # in which the distinct values are summed up side by side
+RANGES = 64  # most ranges in which the distinct values are summed up side by side
+VALUES_PER_RANGE = 100_000
 
 
 def by_value(df: DataFrame, value: str) -> DataFrame:
@@ -15,19 +16,24 @@ def by_value(df: DataFrame, value: str) -> DataFrame:
     return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n")))
 
 
-def with_prefix(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """v, n, upto: the rows up to each value in order. Sums run within ranges of values, so that no task holds them all."""
-    # at most `ranges` numbers each
-    cuts = counts.agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 10_000).alias("c")).first()["c"] or []
-    place = sum((F.when(F.col("v") > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
-    placed = counts.withColumn("r", place)
-    sums = {r["r"]: r["n"] for r in placed.groupBy("r").agg(F.sum("n").alias("n")).collect()}
-    before, total = F.lit(0), 0
-    for k in sorted(sums):
-        before = F.when(F.col("r") == k, total).otherwise(before)
-        total += sums[k]
+def with_prefix(counts: DataFrame, per_range: int = VALUES_PER_RANGE) -> tuple[DataFrame, int]:
+    """(v, n, upto: the rows up to each value in order; the number of all rows).
+
+    Sums run within ranges of about per_range values, so that no task holds all of many.
+    """
+    size = counts.agg(F.count("*").alias("values"), F.sum("n").alias("n")).first()
+    ranges = min(RANGES, max(1, size["values"] // per_range))
+    place, before = F.lit(0), F.lit(0)
+    if ranges > 1:
+        # at most RANGES numbers each
+        cuts = counts.agg(F.percentile_approx("v", [i / ranges for i in range(1, ranges)], 10_000).alias("c")).first()["c"]
+        place = sum((F.when(F.col("v") > F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+        sums, total = {r["r"]: r["n"] for r in counts.groupBy(place.alias("r")).agg(F.sum("n").alias("n")).collect()}, 0
+        for k in sorted(sums):
+            before = F.when(F.col("r") == k, total).otherwise(before)
+            total += sums[k]
     inner = F.sum("n").over(Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    return placed.select("v", "n", (inner + before).alias("upto"))
+    return counts.withColumn("r", place).select("v", "n", (inner + before).alias("upto")), size["n"] or 0
 
 
 def rank_columns(quantiles: dict[str, float], total: int) -> list[Column]:
@@ -35,18 +41,14 @@ def rank_columns(quantiles: dict[str, float], total: int) -> list[Column]:
     return [F.min(F.when(F.col("upto") > F.floor(F.lit(total) * F.lit(q)), F.col("v"))).alias(name) for name, q in quantiles.items()]
 
 
-def _total(counts: DataFrame) -> int:
-    return counts.agg(F.sum("n")).first()[0] or 0
-
-
-def nearest_rank(df: DataFrame, value: str, quantiles: dict[str, float]) -> DataFrame:
+def nearest_rank(df: DataFrame, value: str, quantiles: dict[str, float], per_range: int = VALUES_PER_RANGE) -> DataFrame:
     """One row: for each name the element at the zero-based place floor(n q) of the sorted values.
 
     Works on the counts per distinct value, summed up by ranges, whatever the number of distinct values. Nulls are
     ignored; no rows give nulls.
     """
-    counts = by_value(df, value)
-    return with_prefix(counts).agg(*rank_columns(quantiles, _total(counts)))
+    summed, total = with_prefix(by_value(df, value), per_range)
+    return summed.agg(*rank_columns(quantiles, total))
 
 
 QUANTILES = {"median": 0.5, "p90": 0.9, "p95": 0.95}
@@ -54,11 +56,11 @@ QUANTILES = {"median": 0.5, "p90": 0.9, "p95": 0.95}
 
 def chunk_report(counts: DataFrame) -> DataFrame:
     """docs, total_chunks, mean, median, p90, p95, smallest, largest over a column `chunks`, which is read once."""
-    per = by_value(counts, "chunks")
+    summed, rows = with_prefix(by_value(counts, "chunks"))
     total = F.sum(F.col("v") * F.col("n"))
-    return with_prefix(per).agg(
+    return summed.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("docs"), total.alias("total_chunks"), F.try_divide(total, F.sum("n")).alias("mean_chunks"),
-        F.min("v").alias("min_chunks"), F.max("v").alias("max_chunks"), *rank_columns(QUANTILES, _total(per)),
+        F.min("v").alias("min_chunks"), F.max("v").alias("max_chunks"), *rank_columns(QUANTILES, rows),
     )
 
 
