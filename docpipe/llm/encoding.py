@@ -10,6 +10,7 @@ were, which proves the join exact, as a byte-pair sequence is right if and only
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.session import once_per_key
+from docpipe.session import once_per_key, spread_out
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEAF = 1 << 12
 # Fixed value: the word pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+_CUT = re.compile(r"(?<=[^\W_])[ \n]")
+
 
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> tiktoken.Encoding:
@@ -40,27 +43,57 @@ def _pattern() -> regex.Pattern:
     return regex.compile(PATTERN)
 
 
+def _last_cut(text: str, start: int, end: int) -> int:
+    """The last place in (start, end] between a letter or digit and a blank or line end, 0 if there is none.
+
+    No word of the pattern goes on over such a place, and none before it looks further, so the words on either side are
+    the same with and without the other side.
+    """
+    while True:
+        at = max(text.rfind(" ", start + 1, end + 1), text.rfind("\n", start + 1, end + 1))
+        if at < 0 or text[at - 1].isalnum():
+            return max(at, 0)
+        end = at - 1
+
+
 def leaves(text: str, leaf: int) -> list[tuple[int, str]]:
-    """(run, part) in order: run is -1 for parts of whole words, else the number of the word it is, or is cut from.
+    """(run, part) in order: run is -1 for parts of whole words, else the place of the word it is, or is cut from."""
+    out: list[tuple[int, str]] = []
+    start = 0
+    while len(text) - start > leaf:
+        cut = _last_cut(text, start, start + leaf)
+        if cut:
+            out.append((-1, text[start:cut]))
+        else:  # no such place within a leaf: word by word up to the next one
+            cut = next((m.start() for m in _CUT.finditer(text, start + leaf)), len(text))
+            out += [(run + start if run >= 0 else run, part) for run, part in _by_words(text[start:cut], leaf)]
+        start = cut
+    if start < len(text):
+        out.append((-1, text[start:]))
+    return out
+
+
+def _by_words(text: str, leaf: int) -> list[tuple[int, str]]:
+    """leaves of a text by its words; a word above leaf characters is cut into halves.
 
     A part of whole words ends only behind a non-blank character, so the pattern sees the same words without what follows.
     """
     out: list[tuple[int, str]] = []
     start = end = 0
     blanks: list[tuple[int, str]] = []  # words of blanks at the end of the open part
-    for i, m in enumerate(_pattern().finditer(text)):
+    for m in _pattern().finditer(text):
         if m.end() - m.start() > leaf:
             solid = m.start() - sum(len(w) for _, w in blanks)
             if solid > start:
                 out.append((-1, text[start:solid]))
             out += blanks  # each by itself: without the run behind them they would be split otherwise
-            out += [(i, part) for part in _halves(m.group(), leaf)]
+            out += [(m.start(), part) for part in _halves(m.group(), leaf)]
             start, blanks = m.end(), []
         else:
             if end - start >= max(1, leaf // 2) and not blanks:
                 out.append((-1, text[start:end]))
                 start = end
-            blanks = [*blanks, (i, m.group())] if m.group().isspace() else []
+            blanks = [*blanks, (m.start(), m.group())] if m.group().isspace() else []
         end = m.end()
     if start < len(text):
         out.append((-1, text[start:]))
@@ -121,7 +154,7 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str = VOCABULARY,
     without a key are left out; rows of one key count once (if their texts differ, the smallest). An empty table
     gives an empty result; extra columns are ignored. Only texts of repeated keys and leaves of long texts are moved.
     """
-    base = once_per_key(df.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(text).alias("__t")), ["__k"], "__t")
+    base = once_per_key(spread_out(df.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(text).alias("__t"))), ["__k"], "__t")
     kind = base.schema["__k"].dataType
     ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.session import cut_lineage, once_per_key
+from docpipe.session import cut_lineage, once_per_key, spread_out
 
 # Compatibility forms that look like what they decompose to. Raised, lowered, encircled, stacked and
 # squared forms do not.
@@ -210,7 +210,7 @@ def look_prints(df: DataFrame, key: str, text: str) -> DataFrame:
     Null keys and texts, and texts without any visible character, give no row; repeated rows of a key count once (if
     their texts differ, the one with the smallest prints).
     """
-    base = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("__text"))
+    base = spread_out(df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("__text")))
     schema = T.StructType([base.schema["k"], *(T.StructField(c, T.LongType()) for c in ("look_1", "look_2", "raw_1", "raw_2"))])
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,11 +105,11 @@ def mix_sources(docs: DataFrame, key: str, source: str, tokens: str, targets: Da
     d = docs.where(F.col(key).isNotNull() & F.col(source).isNotNull() & (F.col(tokens) > 0)).select(F.col(key).alias("k"), F.col(source).alias("source"), F.col(tokens).cast("long").alias("tokens")).dropDuplicates(["k"])
     d = cut_lineage(d)
     plan = cut_lineage(source_plan(d.select("source", "tokens"), targets, block))
-    ranks = cut_lineage(schedule(plan))
+    ranks = schedule(plan)
     # how many rounds each source takes, then its documents once per round in an order of that round's own
     taken = ranks.groupBy("source").agg((F.max("rank") + 1).alias("taken"))
     rounds = plan.join(taken, "source").select("source", F.col("tokens").alias("total"), F.least("max_repeats", F.ceil(F.col("taken") * block / F.col("tokens"))).cast("int").alias("rounds"))
-    chunks = max(1, math.ceil(d.count() / DOCS_PER_CHUNK))
+    chunks = max(1, math.ceil((plan.agg(F.sum("docs")).first()[0] or 0) / DOCS_PER_CHUNK))
     laid = (
         d.join(F.broadcast(rounds), "source")  # one row per source of the target list
         .withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))

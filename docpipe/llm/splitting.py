@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.session import once_per_key
+from docpipe.session import once_per_key, spread_out
 
 TOKENS_PER_CHAR = 0.6
 LIMIT = 1000
@@ -131,7 +131,7 @@ def split_texts(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, o
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     one = once_per_key(base, keys, "__text")
-    long, short = one.where(F.length("__text") > most), one.where(F.length("__text") <= most)
+    long, short = spread_out(one.where(F.length("__text") > most)), one.where(F.length("__text") <= most)
     whole = short.select(
         *keys, F.lit(0).alias("piece"), F.lit(0).alias("start"), F.length("__text").alias("end"), F.lit(0).alias("overlap_chars"), F.lit("end").alias("cut"),
         F.floor(F.length("__text") * F.lit(TOKENS_PER_CHAR)).cast("int").alias("est_tokens"), F.lit("whole").alias("text_kind"), F.col("__text").alias("piece_text"),
