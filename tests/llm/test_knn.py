@@ -44,7 +44,7 @@ def test_a_third_of_all_rows_in_one_slot(spark):
     for r in found.collect():
         got.setdefault(r.id, set()).add(r.n_id)
     hot = [len(got.get(i, set()) & set(truth(x)[i].tolist())) for i in range(800, 1200)]
-    assert sum(hot) / (5 * len(hot)) >= 0.8
+    assert sum(hot) / (5 * len(hot)) >= 0.9
     assert all(len(v) == 5 for v in got.values())
 
 
