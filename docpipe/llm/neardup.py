@@ -29,6 +29,7 @@ BUCKET_CAP = 8192
 BLOCK = 8192
 MAX_EXPAND = 1000
 BROADCAST_IDS = 500_000
+LARGEST_NUMBER = 1 << 21  # of a unit in an n-gram
 WORDS = re.compile(r"[^\W_]+")
 BLANKS = re.compile(r"\s+")
 
@@ -86,17 +87,25 @@ class Verifier:
         self.kept: dict[int, np.ndarray] = {}
         self.size = 0
 
-    def _clear(self) -> None:
-        self.number.clear()
+    def _clear_sets(self) -> None:
         self.kept.clear()
         self.size = 0
 
-    def _grams(self, key: int, units: list[str] | str) -> np.ndarray:
+    def _clear(self) -> None:
+        self.number.clear()
+        self._clear_sets()
+
+    def _grams(self, key: int, text: str) -> np.ndarray | None:
+        """The distinct n-grams of a text, None if it has too many words to number."""
         known = self.kept.get(key)
         if known is not None:
             return known
-        n = self.spec.n
+        n, units = self.spec.n, self.spec.units(text)
         if self.spec.unit == "words":
+            if len(units) >= LARGEST_NUMBER:
+                return None
+            if len(self.number) + len(units) >= LARGEST_NUMBER:
+                self._clear()
             number = self.number
             w = np.fromiter((number.setdefault(x, len(number)) for x in units), np.int64, len(units))
         else:
@@ -105,23 +114,23 @@ class Verifier:
         for i in range(n):
             x = x << 21 | w[i : len(w) - n + 1 + i]
         grams = np.unique(x)
+        if self.size > self.room:
+            self._clear_sets()
         self.kept[key] = grams
         self.size += len(grams)
         return grams
 
-    def similarity(self, a: int, u: list[str] | str, b: int, v: list[str] | str) -> float:
-        """a, b: what names the texts u and v, here their class."""
-        if self.spec.n > 3:
-            return self.spec.similarity(u, v)
-        if self.spec.unit == "words" and len(self.number) + len(u) + len(v) >= 1 << 21:
-            self._clear()
-            if len(u) + len(v) >= 1 << 21:
-                return self.spec.similarity(u, v)
-        if self.size > self.room:
-            self._clear()
-        p, q = self._grams(a, u), self._grams(b, v)
-        shared = len(np.intersect1d(p, q, assume_unique=True))
-        return shared / (len(p) + len(q) - shared)
+    def similarity(self, a: int, text_a: str, b: int, text_b: str) -> float:
+        """a, b: what names the texts, here their class."""
+        if self.spec.n <= 3:
+            p, q = self._grams(a, text_a), self._grams(b, text_b)
+            if q is not None and self.spec.unit == "words" and a not in self.kept:  # the numbers began anew in between
+                p = self._grams(a, text_a)
+                q = self.kept.get(b)
+            if p is not None and q is not None:
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                return shared / (len(p) + len(q) - shared)
+        return self.spec.similarity(self.spec.units(text_a), self.spec.units(text_b))
 
 
 def class_of(field: str, spec: Shingles, units: list[str] | str) -> tuple[int, int]:
@@ -404,7 +413,7 @@ def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFram
             sims, rows = [], []
             for r, (f, a, b, x, y) in enumerate(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("field", "a", "b", "text_a", "text_b")), strict=True)):
                 spec = specs[f]
-                s = verifiers[f].similarity(a, spec.units(x), b, spec.units(y))
+                s = verifiers[f].similarity(a, x, b, y)
                 if s >= spec.threshold:
                     rows.append(r)
                     sims.append(s)

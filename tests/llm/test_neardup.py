@@ -121,5 +121,15 @@ def test_verifier_equals_sets():
         v = neardup.Verifier(spec, room=500)
         for _ in range(200):
             a, b = rnd.randrange(len(texts)), rnd.randrange(len(texts))
-            u, w = spec.units(texts[a]), spec.units(texts[b])
-            assert v.similarity(a, u, b, w) == spec.similarity(u, w), name
+            assert v.similarity(a, texts[a], b, texts[b]) == spec.similarity(spec.units(texts[a]), spec.units(texts[b])), name
+
+
+def test_verifier_without_room_for_more_numbers(monkeypatch):
+    texts, spec = corpus(12, seed=4), SPECS["body"]
+    rnd = random.Random(6)
+    for largest in (40, 150, 400):  # fewer than a text has, than two have, than all have
+        monkeypatch.setattr(neardup, "LARGEST_NUMBER", largest)
+        v = neardup.Verifier(spec, room=500)
+        for _ in range(200):
+            a, b = rnd.randrange(len(texts)), rnd.randrange(len(texts))
+            assert v.similarity(a, texts[a], b, texts[b]) == spec.similarity(spec.units(texts[a]), spec.units(texts[b]))
