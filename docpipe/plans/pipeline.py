@@ -36,6 +36,13 @@ def ids_never_fetched(spark: SparkSession, d: str) -> DataFrame:
     return validate.without(ranges.id_range(spark, 1, 10000), log(spark, d), "norm_id")
 
 
+@R.query("SELECT id AS norm_id FROM range(1, (SELECT max(norm_id) FROM scrape_log) + 1) t(id) WHERE id NOT IN (SELECT norm_id FROM scrape_log WHERE norm_id IS NOT NULL)")
+def ids_missing_so_far(spark: SparkSession, d: str) -> DataFrame:
+    """Ids up to the last of the log that were never fetched."""
+    last = log(spark, d).agg(F.max("norm_id")).first()[0]
+    return validate.without(ranges.id_range(spark, 1, last), log(spark, d), "norm_id")
+
+
 SQL_LATEST = """SELECT instance_id, unnest(max({'last_id_processed': last_id_processed, 'saved_at': saved_at, 'total_processed': total_processed, 'success_count': success_count, 'failed_count': failed_count,
   'skipped_count': skipped_count, 'retry_count': retry_count, 'status': status})) FROM checkpoints WHERE instance_id IS NOT NULL GROUP BY instance_id"""
 
@@ -204,3 +211,9 @@ def embed_offline(spark: SparkSession, d: str) -> DataFrame:
     """Chunks of the norms with their offline vectors."""
     chunks = chunk_texts(norm_texts(spark, d), ["norm_id"], "text")
     return embed.embed(chunks, ["norm_id", "chunk_index"], "text")
+
+
+@R.query(sql_chunks(NORMS, "norm_id") + "SELECT k AS norm_id, CAST(i - 1 AS INTEGER) AS chunk_index, 64 AS dims FROM (SELECT k, unnest(range(1, len(chunks) + 1)) AS i FROM chunked)")
+def embed_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk has a vector of the provider's dimensions, under its own key."""
+    return embed_offline(spark, d).select("norm_id", "chunk_index", F.size("vector").alias("dims"))

@@ -220,3 +220,13 @@ def component_counters(spark: SparkSession, d: str) -> DataFrame:
 @R.query(f"SELECT count(*) FILTER (ok) AS success, count(*) FILTER (NOT ok) AS failed FROM (SELECT coalesce({sql_strip('full_content')} <> '', false) AS ok FROM norms)")
 def batch_index_result(spark: SparkSession, d: str) -> DataFrame:
     return counters.batch_result(table(spark, d, "norms").select("full_content"), F.regexp_replace("full_content", r"^\s+|\s+$", "") != "")
+
+
+@R.query(
+    f"""SELECT position, CAST(succeeded AS BIGINT) AS succeeded, succeeded * CAST(100 AS DOUBLE) / position AS rate FROM (SELECT row_number() OVER w AS position, sum(ok) OVER w AS succeeded
+      FROM (SELECT norm_id, CAST(coalesce({sql_strip("min(full_content)")} <> '', false) AS INTEGER) AS ok FROM norms WHERE norm_id IS NOT NULL GROUP BY norm_id) WINDOW w AS (ORDER BY norm_id ROWS UNBOUNDED PRECEDING)) WHERE position % 10 = 0"""
+)
+def batch_progress(spark: SparkSession, d: str) -> DataFrame:
+    """The running rate of norms with text, at every tenth norm."""
+    n = norm_texts(spark, d).select(F.lit("batch").alias("batch"), "norm_id", (F.coalesce(F.regexp_replace("text", r"^\s+|\s+$", ""), F.lit("")) != "").alias("ok"))
+    return checkpoint.running_progress(n, "batch", ["norm_id"], F.col("ok"), every=10).select("position", "succeeded", "rate")

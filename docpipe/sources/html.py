@@ -60,6 +60,16 @@ class Node:
     def classes(self) -> list[str]:
         return self.attrs.get("class", "").split()
 
+    def start(self, n: int) -> str:
+        """The first n characters of the text as it stands."""
+        got, size = [], 0
+        for s in self.strings():
+            got.append(s)
+            size += len(s)
+            if size >= n:
+                break
+        return "".join(got)[:n]
+
     def text(self, joiner: str = "", stripped: bool = True, notes: bool = False) -> str:
         if not stripped:
             return "".join(self.strings(notes))
@@ -105,7 +115,7 @@ class _Builder(HTMLParser):
 
 
 # What classes of containers and summaries are called, and what a page title has around it.
-_BLANKS, _ENTITY = re.compile(r"\s+"), re.compile("&[a-z]+;", re.I | re.A)
+_ENTITY = re.compile("&[a-z]+;", re.I | re.A)
 _OTHER = re.compile("contenido-norma|content|texto|articulo", re.I)
 _SUMMARY = re.compile("resumen|abstract|summary", re.I)
 
@@ -122,14 +132,15 @@ def _any_class(node: Node, pattern: re.Pattern) -> bool:
 
 
 def parse_page(html: str) -> dict:
-    """The fields of PAGE; null where the page has no such part."""
+    """The fields of PAGE; null where the page has no such part. paragraph_text is there only where no container will do."""
     b = _Builder()
     b.feed(html)
     b.close()
     out: dict = dict.fromkeys(f.name for f in PAGE.fields)
     out["meta"] = {}
-    paragraphs = []
-    texts: dict[str, str] = {}  # of the first element of each sort of container
+    # the first of each sort of container; whose text is taken only if none before it will do, since they often nest
+    first: dict[str, Node] = {}
+    paragraphs: list[Node] = []
     for n in b.root.walk():
         cls = n.classes()
         if n.tag == "meta":
@@ -139,26 +150,27 @@ def parse_page(html: str) -> dict:
             out["title"] = n.text()
         elif n.tag == "h1" and out["h1"] is None:
             out["h1"] = n.text()
-        elif n.tag == "p" and (t := n.text()):
-            paragraphs.append(t)
+        elif n.tag == "p":
+            paragraphs.append(n)
         if cls:
             if out["datos"] is None and "datos" in cls:
                 out["datos"] = n.text(stripped=False)
-            if "norm" not in texts and "texto_norma" in cls:
-                texts["norm"] = n.text("\n\n", notes=True)
-                out["norm_start"] = n.text(stripped=False)[:1000]
-            if "body" not in texts and "cuerpo-norma" in cls:
-                texts["body"] = n.text("\n\n", notes=True)
-            if "other" not in texts and _any_class(n, _OTHER):
-                texts["other"] = n.text("\n\n", notes=True)
+            if "norm" not in first and "texto_norma" in cls:
+                first["norm"] = n
+                out["norm_start"] = n.start(1000)
+            if "body" not in first and "cuerpo-norma" in cls:
+                first["body"] = n
+            if "other" not in first and _any_class(n, _OTHER):
+                first["other"] = n
             if out["summary_text"] is None and _any_class(n, _SUMMARY):
                 out["summary_text"] = n.text()
-    if paragraphs:
-        out["paragraph_text"] = texts["paragraphs"] = "\n\n".join(paragraphs)
-    chosen = next((texts[k] for k in ("norm", "body", "other", "paragraphs") if len(texts.get(k, "")) >= MIN_CONTENT), None)
+    chosen = next((t for k in ("norm", "body", "other") if k in first and len(t := first[k].text("\n\n", notes=True)) >= MIN_CONTENT), None)
+    if chosen is None:
+        joined = out["paragraph_text"] = "\n\n".join(t for n in paragraphs if (t := n.text())) or None
+        chosen = joined if joined and len(joined) >= MIN_CONTENT else None
     if chosen is not None:
         # cleaned here, once: as an expression the optimiser would repeat it in every rule that reads the content
-        out["content"] = _ENTITY.sub("", _BLANKS.sub(" ", chosen)).strip()
+        out["content"] = _ENTITY.sub("", " ".join(chosen.split())).strip()
     # the page's own title: og:title by name, else <title> if longer than 10, else <h1>; here, once, as many rules read it
     title = _clean_title(out["title"] or "")
     out["raw_title"] = _clean_title(out["meta"].get("og:title", "")) or (title if len(title) > 10 else "") or out["h1"] or None
