@@ -56,8 +56,13 @@ def _last_cut(text: str, start: int, end: int) -> int:
         end = at - 1
 
 
-def leaves(text: str, leaf: int) -> list[tuple[int, str]]:
-    """(run, part) in order: run is -1 for parts of whole words, else the place of the word it is, or is cut from."""
+def leaves(text: str, leaf: int, run: int | None = None) -> list[tuple[int, str]]:
+    """(run, part) in order: run is -1 for parts of whole words, else the place of the word it is, or is cut from.
+
+    run, if below leaf: the most characters of a word that is not cut, else leaf.
+    """
+    if run is not None and run < leaf:
+        return _by_words(text, leaf, run)
     out: list[tuple[int, str]] = []
     start = 0
     while len(text) - start > leaf:
@@ -66,15 +71,15 @@ def leaves(text: str, leaf: int) -> list[tuple[int, str]]:
             out.append((-1, text[start:cut]))
         else:  # no such place within a leaf: word by word up to the next one
             cut = next((m.start() for m in _CUT.finditer(text, start + leaf)), len(text))
-            out += [(run + start if run >= 0 else run, part) for run, part in _by_words(text[start:cut], leaf)]
+            out += [(at + start if at >= 0 else at, part) for at, part in _by_words(text[start:cut], leaf, leaf)]
         start = cut
     if start < len(text):
         out.append((-1, text[start:]))
     return out
 
 
-def _by_words(text: str, leaf: int) -> list[tuple[int, str]]:
-    """leaves of a text by its words; a word above leaf characters is cut into halves.
+def _by_words(text: str, leaf: int, run: int) -> list[tuple[int, str]]:
+    """leaves of a text by its words; a word above run characters is cut into halves.
 
     A part of whole words ends only behind a non-blank character, so the pattern sees the same words without what follows.
     """
@@ -82,12 +87,12 @@ def _by_words(text: str, leaf: int) -> list[tuple[int, str]]:
     start = end = 0
     blanks: list[tuple[int, str]] = []  # words of blanks at the end of the open part
     for m in _pattern().finditer(text):
-        if m.end() - m.start() > leaf:
+        if m.end() - m.start() > run:
             solid = m.start() - sum(len(w) for _, w in blanks)
             if solid > start:
                 out.append((-1, text[start:solid]))
             out += blanks  # each by itself: without the run behind them they would be split otherwise
-            out += [(m.start(), part) for part in _halves(m.group(), leaf)]
+            out += [(m.start(), part) for part in _halves(m.group(), run)]
             start, blanks = m.end(), []
         else:
             if end - start >= max(1, leaf // 2) and not blanks:
@@ -147,7 +152,7 @@ def _id_lists(lists: list[list[int]]) -> pa.Array:
     return pa.array(lists, pa.list_(pa.int32()))
 
 
-def encode_documents(df: DataFrame, key: str, text: str, path: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
+def encode_documents(df: DataFrame, key: str, text: str, path: str = VOCABULARY, leaf: int = LEAF, run: int | None = None) -> DataFrame:
     """key, ids (array<int>): the ids of every text, without special tokens.
 
     The null and the empty text have the empty list; strings that look like special tokens are ordinary text. Rows
@@ -166,7 +171,7 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str = VOCABULARY,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r, t in enumerate(b.column(1).to_pylist()):
-                parts = leaves(t, leaf)
+                parts = leaves(t, leaf, run)
                 one = b.column(0).take(pa.array([r] * len(parts)))
                 yield pa.RecordBatch.from_arrays([one, pa.array(range(len(parts)), pa.int32()), pa.array([p[0] for p in parts], pa.int64()), pa.array([p[1] for p in parts], pa.string())], names=["__k", "n", "run", "part"])
 

@@ -137,8 +137,8 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_ids_by_tree(spark: SparkSession, d: str) -> DataFrame:
-    """The same ids by leaves of eight characters, so that almost every text is cut and every longer word goes through the tree."""
-    return encoding.encode_documents(table(spark, d, "documents"), "doc_id", "text", leaf=8)
+    """The same ids by small leaves, so that almost every text is cut and every word above 12 characters goes through the tree."""
+    return encoding.encode_documents(table(spark, d, "documents"), "doc_id", "text", leaf=256, run=12)
 
 
 def _sized_documents(spark: SparkSession, d: str) -> DataFrame:

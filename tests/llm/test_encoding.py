@@ -16,9 +16,10 @@ BITS = st.sampled_from(["hola ", "\n", "\n\n", "  ", " x", "don't", "ñandú", "
 @given(st.one_of(st.lists(BITS, max_size=40).map("".join), st.text(alphabet="ab", max_size=200), st.text(max_size=80)), st.sampled_from([1, 2, 4, 9, 33]))
 def test_joined_leaves_equal_the_whole(text, leaf):
     enc = en.vocabulary(en.VOCABULARY)
-    parts = en.leaves(text, leaf)
-    assert "".join(p for _, p in parts) == text
-    assert en.join_leaves([(r, en.encode_leaf(r, p, enc)) for r, p in parts], enc) == enc.encode_ordinary(text)
+    for run in (None, 1, 3):
+        parts = en.leaves(text, leaf, run)
+        assert "".join(p for _, p in parts) == text
+        assert en.join_leaves([(r, en.encode_leaf(r, p, enc)) for r, p in parts], enc) == enc.encode_ordinary(text)
 
 
 def test_documents(spark):
