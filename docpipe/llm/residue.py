@@ -25,7 +25,7 @@ from docpipe.session import cut_lineage, spread_out
 BITS = 18
 BLOCK = 16  # two neighbouring blocks make a window
 SAMPLE_ROWS = 40_000  # rows, by hash order of the key, that are searched for the phrases of the weak labels
-SAMPLE_CLEAN = 10_000  # of these, rows of which windows without residue are learned too
+SAMPLE_CLEAN = 6_000  # of these, rows of which windows without residue are learned too
 WINDOWS_PER_TEXT = 2  # most windows of a sort learned from a text, evenly spread over it
 HARD_PER_TEXT = 2  # most clean windows of a text that the first fit took for residue and the second learns
 HARD_SCORE = -1.0
