@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ SKETCH_BITS = 128
 BUCKET_CAP = 8192
 BLOCK = 8192
 MAX_EXPAND = 1000
+EASY_ROWS = 30_000_000  # texts up to which the rows per band of a field do
+BACKGROUND = 10  # unrelated texts agree in one of so many hash functions at most
 BROADCAST_IDS = 500_000
 LARGEST_NUMBER = 1 << 21  # of a unit in an n-gram
 WORDS = re.compile(r"[^\W_]+")
@@ -50,6 +52,15 @@ class Shingles:
         """Bands for the target recall of a pair that is just at the threshold."""
         return math.ceil(math.log(1 - self.recall) / math.log(1 - self.threshold**self.rows))
 
+    def for_rows(self, n: int) -> Shingles:
+        """The banding for n texts: a row more for every BACKGROUND-fold beyond EASY_ROWS, with the bands for the same recall.
+
+        Unrelated texts share a band of r rows with a chance of about BACKGROUND ** -r, so the unrelated pairs each text
+        meets stay as few as among EASY_ROWS texts, however large the collection.
+        """
+        more = max(0, math.ceil(math.log(max(n, 1) / EASY_ROWS, BACKGROUND)))
+        return replace(self, rows=self.rows + more)
+
     @property
     def least_agreeing_bits(self) -> int:
         p = (1 + self.threshold) / 2
@@ -438,6 +449,8 @@ def near_duplicates(df: DataFrame, key: str, specs: dict[str, Shingles], **caps:
     field's least size, take no part; repeated rows of an id count once; an empty table gives two empty results.
     """
     cls = cut_lineage(classes(df, key, specs))
+    sizes = {r["field"]: r["n"] for r in cls.groupBy("field").agg(F.count("*").alias("n")).collect()}  # a row per field
+    specs = {f: s.for_rows(sizes.get(f, 0)) for f, s in specs.items()}
     return class_members(cls), links(df, key, specs, cls, **caps)
 
 

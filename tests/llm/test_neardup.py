@@ -133,3 +133,17 @@ def test_verifier_without_room_for_more_numbers(monkeypatch):
         for _ in range(200):
             a, b = rnd.randrange(len(texts)), rnd.randrange(len(texts))
             assert v.similarity(a, texts[a], b, texts[b]) == spec.similarity(spec.units(texts[a]), spec.units(texts[b]))
+
+
+def test_banding_for_large_collections(spark, monkeypatch):
+    spec = neardup.Shingles("words", 3, 80, 0.6, rows=4)
+    assert [spec.for_rows(n).rows for n in (0, 10**6, 3 * 10**7, 10**8, 3 * 10**8, 10**9)] == [4, 4, 4, 5, 5, 6]
+    for n in (10**6, 10**9):
+        s = spec.for_rows(n)
+        assert 1 - (1 - s.threshold**s.rows) ** s.bands >= spec.recall
+    monkeypatch.setattr(neardup, "EASY_ROWS", 5)
+    texts = corpus()
+    rows = [(i, t, t[:90]) for i, t in enumerate(texts)]
+    want = brute({i: t for i, t, _ in rows}, "body") | brute({i: h for i, _, h in rows}, "head")
+    got = found(spark, rows)[2]
+    assert got <= want and len(got) >= 0.99 * len(want)
