@@ -166,12 +166,13 @@ class Hasher:
         if self.spec.unit == "words":
             if len(self.known) > 200_000:
                 self.known.clear()
-            known, ids = self.known, []
-            for w in units:
-                h = known.get(w)
-                if h is None:
-                    h = known[w] = xxhash.xxh3_64_intdigest(w)
-                ids.append(h)
+            known = self.known
+            ids = list(map(known.get, units))
+            if None in ids:
+                for w in units:
+                    if w not in known:
+                        known[w] = xxhash.xxh3_64_intdigest(w)
+                ids = list(map(known.get, units))
             u = np.array(ids, np.uint64)
         else:
             u = np.frombuffer(units.encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -190,10 +191,10 @@ class Hasher:
         with np.errstate(over="ignore"):
             x = (x >> np.uint64(32)).astype(np.uint32)
             m = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
-            for s in range(0, len(x), 1024):  # very long texts in pieces, so the matrix stays small
-                h = self.a[:, None] * x[None, s : s + 1024]
-                h += self.b[:, None]
-                m = np.minimum(m, h.min(1))
+            for s in range(0, len(x), 128):  # in pieces, so the matrix stays small; a row per n-gram, so that minima are taken side by side
+                h = x[s : s + 128, None] * self.a[None]
+                h += self.b[None]
+                m = np.minimum(m, h.min(0))
             m = m.astype(np.uint64)
             used = m[: self.spec.bands * self.spec.rows].reshape(self.spec.bands, self.spec.rows)
             keys = ((used + np.uint64(1)) * self.mul).sum(1, dtype=np.uint64) ^ self.salt
@@ -208,9 +209,9 @@ def _texts(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 
 def classes(df: DataFrame, key: str, specs: dict[str, Shingles]) -> DataFrame:
-    """field, id, h1, h2: the class of every text that takes part, one row per field and id.
+    """field, id, h1, h2, mixed: the class of every text that takes part, one row per field and id.
 
-    If rows of one id differ in text, the class with the smallest hash stands for the id.
+    If rows of one id differ in text (mixed), the class with the smallest hash stands for the id.
     """
     fields = list(specs)
 
@@ -230,8 +231,9 @@ def classes(df: DataFrame, key: str, specs: dict[str, Shingles]) -> DataFrame:
     t = _texts(df, key, fields)
     id_type = t.schema["id"].dataType.simpleString()
     raw = t.mapInArrow(emit, f"field string, id {id_type}, h1 long, h2 long")
-    one = raw.groupBy("field", "id").agg(F.min(F.struct("h1", "h2")).alias("h"))
-    return one.select("field", "id", "h.h1", "h.h2")
+    h = F.struct("h1", "h2")
+    one = raw.groupBy("field", "id").agg(F.min(h).alias("h"), F.max(h).alias("most"))
+    return one.select("field", "id", "h.h1", "h.h2", (F.col("h") != F.col("most")).alias("mixed"))
 
 
 def _band_rows(df: DataFrame, key: str, specs: dict[str, Shingles]) -> DataFrame:
@@ -414,9 +416,17 @@ def links(df: DataFrame, key: str, specs: dict[str, Shingles], members: DataFram
                         texts.append(t)
                 yield pa.RecordBatch.from_arrays([pa.array([f] * len(rows), pa.string()), b.column(0).take(pa.array(rows, pa.int64())), pa.array(h, pa.int64()), pa.array(texts, pa.string())], names=["field", "id", "cls", "text"])
 
-    texts = _texts(df, key, fields).join(wanted, "id", "left_semi").mapInArrow(classed, f"field string, id {id_type}, cls long, text string")
-    texts = texts.groupBy("field", "id", "cls").agg(F.min("text").alias("text"))
-    both = sides.join(texts.withColumnsRenamed({"id": "rep_a", "cls": "a", "text": "text_a"}), ["field", "rep_a", "a"]).join(texts.withColumnsRenamed({"id": "rep_b", "cls": "b", "text": "text_b"}), ["field", "rep_b", "b"])
+    texts = _texts(df, key, fields).join(wanted, "id", "left_semi")
+    if members.where("mixed").isEmpty():  # all rows of an id have texts of one class: no need to look
+        texts = texts.groupBy("id").agg(*(F.min(f"t{i}").alias(f"t{i}") for i in range(len(fields))))
+        texts = texts.select("id", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"t{i}").alias("text")) for i, f in enumerate(fields)))).alias("x")).select("id", "x.field", "x.text").where("text is not null")
+        on = {"a": ["field", "rep_a"], "b": ["field", "rep_b"]}
+    else:
+        texts = texts.mapInArrow(classed, f"field string, id {id_type}, cls long, text string").groupBy("field", "id", "cls").agg(F.min("text").alias("text"))
+        on = {"a": ["field", "rep_a", "a"], "b": ["field", "rep_b", "b"]}
+    both = sides
+    for s in "ab":
+        both = both.join(texts.withColumnsRenamed({"id": f"rep_{s}", "cls": s, "text": f"text_{s}"}), on[s])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verifiers = {f: Verifier(s) for f, s in specs.items()}
